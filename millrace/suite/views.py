@@ -8,6 +8,9 @@ attribute.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,29 +50,47 @@ def envelope(record: Column, op: Column, ts_ms: Column) -> Column:
     return F.to_json(F.struct(payload.alias("payload")))
 
 
+def once(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Build each view of a source once: a view used twice in a plan is one subtree to Spark."""
+
+    @wraps(build)
+    def cached(self, *args):
+        key = (build.__name__, *args)
+        if key not in self.built:
+            self.built[key] = build(self, *args)
+        return self.built[key]
+
+    return cached
+
+
 class Source:
     """Lazy views over one folder of test tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self.built: dict[tuple, DataFrame] = {}
         configure(spark, [self.table("lineitem"), self.table("orders"), self.table("events")])
 
+    @once
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     # --- raw entities, as a source system would deliver them ---
 
+    @once
     def _places(self) -> DataFrame:
         return self.table("nation").join(
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
         )
 
+    @once
     def _customer_places(self) -> DataFrame:
         return self.table("customer").join(
             self._places(), F.col("c_nationkey") == F.col("n_nationkey")
         )
 
+    @once
     def _supplier_places(self) -> DataFrame:
         return self.table("supplier").join(
             self._places(), F.col("s_nationkey") == F.col("n_nationkey")
@@ -185,6 +206,7 @@ class Source:
             )
         )
 
+    @once
     def orders(self) -> DataFrame:
         """Typed times; canceled orders (P) are not approved, only F is delivered."""
         status, placed, key = F.col("o_orderstatus"), F.col("o_orderdate"), F.col("o_orderkey")
@@ -221,6 +243,7 @@ class Source:
             ],
         )
 
+    @once
     def order_items(self) -> DataFrame:
         price = F.col("l_extendedprice").cast(MONEY)
         return self.table("lineitem").select(
@@ -331,9 +354,11 @@ class Source:
 
     # --- cleaned entities ---
 
+    @once
     def clean(self, entity: str) -> DataFrame:
         return clean(getattr(self, entity)(), entity)
 
+    @once
     def clean_next(self, entity: str) -> DataFrame:
         return clean(getattr(self, f"{entity}_next")(), entity)
 
@@ -355,9 +380,11 @@ class Source:
             dims.customer_rows(self.clean_next("customers")),
         )
 
+    @once
     def dim_customer(self) -> DataFrame:
         return self._versioned(dims.CUSTOMER, *self.customer_batches())
 
+    @once
     def dim_seller(self) -> DataFrame:
         return self._versioned(
             dims.SELLER,
@@ -365,6 +392,7 @@ class Source:
             dims.seller_rows(self.clean_next("sellers")),
         )
 
+    @once
     def dim_product(self) -> DataFrame:
         return self._versioned(
             dims.PRODUCT,
@@ -372,9 +400,11 @@ class Source:
             dims.product_rows(self.clean_next("products")),
         )
 
+    @once
     def dim_product_category(self) -> DataFrame:
         return dims.dim_product_category(self.clean("product_category_name_translation"))
 
+    @once
     def dim_time(self) -> DataFrame:
         """Calendar that holds the dates of all orders and events."""
         dates = (
