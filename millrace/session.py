@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when that costs one more shuffle further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Parquet is several times smaller than the rows it holds; without this, a join side
+    # is broadcast on its compressed size, and adaptive execution does not undo that.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 SHUFFLE_PARTITION_BYTES = 128 << 20

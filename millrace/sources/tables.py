@@ -92,3 +92,4 @@ def register(spark: SparkSession, table: SnapshotTable, database: str, name: str
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
     spark.catalog.createTable(f"{database}.{name}", path=table.folder(), source="parquet")
+    spark.catalog.refreshTable(f"{database}.{name}")

@@ -313,32 +313,32 @@ _CUSTOMER = (dims.CUSTOMER.business_key, dims.CUSTOMER.surrogate)
 
 @query
 def scd2_initial(s: Source) -> DataFrame:
-    first, _ = s.customer_batches()
+    first, _ = s.batches("dim_customer")
     return scd.scd2_initial(first, *_CUSTOMER)
 
 
 @query
 def scd2_detect_changes(s: Source) -> DataFrame:
-    first, second = s.customer_batches()
+    first, second = s.batches("dim_customer")
     held = scd.scd2_initial(first, *_CUSTOMER)
     return scd.scd2_changed(held, second, dims.CUSTOMER.business_key, dims.CUSTOMER.tracked)
 
 
 @query
 def scd2_staged(s: Source) -> DataFrame:
-    first, second = s.customer_batches()
+    first, second = s.batches("dim_customer")
     held = scd.scd2_initial(first, *_CUSTOMER)
     return scd.scd2_staged(held, second, dims.CUSTOMER.business_key, dims.CUSTOMER.tracked)
 
 
 @query
 def scd2_apply(s: Source) -> DataFrame:
-    return s.dim_customer()
+    return s.versioned("dim_customer")
 
 
 @query
 def scd2_surrogate_key(s: Source) -> DataFrame:
-    return s.dim_product().select("product_id", "effective_date", "product_key")
+    return s.versioned("dim_product").select("product_id", "effective_date", "product_key")
 
 
 @query
@@ -346,8 +346,9 @@ def fact_merge_incremental(s: Source) -> DataFrame:
     """Sales of the early lines, then those of the later ones, which overlap, merged in."""
     limit = F.col("shipping_limit_date")
     items = s.clean("order_items")
-    held = _fact_sales(s, items.where(limit < F.lit("1999-01-01").cast("timestamp_ntz")))
-    fresh = _fact_sales(s, items.where(limit >= F.lit("1998-01-01").cast("timestamp_ntz")))
+    early = items.where(limit < F.lit("1999-01-01").cast("timestamp_ntz"))
+    late = items.where(limit >= F.lit("1998-01-01").cast("timestamp_ntz"))
+    held, fresh = (s.fact("fact_sales", order_items=lines) for lines in (early, late))
     return facts.merge_fact("fact_sales", held, fresh)
 
 
@@ -372,7 +373,7 @@ def join_left(s: Source) -> DataFrame:
 @query
 def join_left_expr(s: Source) -> DataFrame:
     orders = s.clean("orders").select("order_id", date_key(_PURCHASE).alias("purchase_time_key"))
-    calendar = s.dim_time()
+    calendar = s.stored("dim_time")
     return orders.join(
         calendar, orders["purchase_time_key"] == calendar["time_key"], "left"
     ).select("order_id", "purchase_time_key", "full_date", "day_of_week")
@@ -383,7 +384,7 @@ def join_asof_scd2(s: Source) -> DataFrame:
     orders = s.clean("orders").select("order_id", "customer_id", _PURCHASE)
     return scd.asof_join(
         orders,
-        s.dim_customer(),
+        s.stored("dim_customer"),
         {"customer_id": "customer_id"},
         _PURCHASE,
         ["customer_key", "city_key", "is_current"],
@@ -398,7 +399,7 @@ def join_left_anti(s: Source) -> DataFrame:
 
 @query
 def join_star(s: Source) -> DataFrame:
-    t = _sales_tables(s)
+    t = _stored(s, *_STAR)
     return (
         t["fact_sales"]
         .select(
@@ -477,7 +478,7 @@ def agg_count_star(s: Source) -> DataFrame:
 
 @query
 def agg_order_features(s: Source) -> DataFrame:
-    return features.order_sums(_fact_sales(s))
+    return features.order_sums(s.stored("fact_sales"))
 
 
 @query
@@ -598,17 +599,17 @@ def scalar_arrays_sequence(s: Source) -> DataFrame:
 
 @query
 def dim_customer(s: Source) -> DataFrame:
-    return s.dim_customer()
+    return s.versioned("dim_customer")
 
 
 @query
 def dim_product(s: Source) -> DataFrame:
-    return s.dim_product()
+    return s.versioned("dim_product")
 
 
 @query
 def dim_seller(s: Source) -> DataFrame:
-    return s.dim_seller()
+    return s.versioned("dim_seller")
 
 
 @query
@@ -618,7 +619,7 @@ def dim_geolocation(s: Source) -> DataFrame:
 
 @query
 def dim_product_category(s: Source) -> DataFrame:
-    return s.dim_product_category()
+    return dims.dim_product_category(s.clean("product_category_name_translation"))
 
 
 @query
@@ -639,99 +640,69 @@ def dim_time(s: Source) -> DataFrame:
 # --- facts ---
 
 
-def _fact_sales(s: Source, items: DataFrame | None = None) -> DataFrame:
-    return facts.fact_sales(
-        s.clean("orders"),
-        s.clean("order_items") if items is None else items,
-        s.dim_customer(),
-        s.dim_seller(),
-        s.dim_product(),
-    )
-
-
-def _fact_reviews(s: Source) -> DataFrame:
-    return facts.fact_reviews(
-        s.clean("order_reviews"),
-        s.clean("orders"),
-        s.clean("order_items"),
-        s.dim_customer(),
-        s.dim_product(),
-    )
-
-
-def _fact_shipment(s: Source) -> DataFrame:
-    return facts.fact_shipment(
-        s.clean("orders"), s.clean("order_items"), s.dim_customer(), s.dim_seller()
-    )
-
-
 @query
 def fact_sales(s: Source) -> DataFrame:
-    return _fact_sales(s)
+    return s.fact("fact_sales")
 
 
 @query
 def fact_payments(s: Source) -> DataFrame:
-    return facts.fact_payments(s.clean("orders"), s.clean("order_payments"))
+    return s.fact("fact_payments")
 
 
 @query
 def fact_reviews(s: Source) -> DataFrame:
-    return _fact_reviews(s)
+    return s.fact("fact_reviews")
 
 
 @query
 def fact_shipment(s: Source) -> DataFrame:
-    return _fact_shipment(s)
+    return s.fact("fact_shipment")
 
 
 # --- marts ---
 
 
-def _sales_tables(s: Source) -> dict[str, DataFrame]:
-    return {
-        "fact_sales": _fact_sales(s),
-        "dim_product": s.dim_product(),
-        "dim_customer": s.dim_customer(),
-        "dim_seller": s.dim_seller(),
-        "dim_time": s.dim_time(),
-        "dim_product_category": s.dim_product_category(),
-    }
+_STAR = (
+    "fact_sales",
+    "dim_product",
+    "dim_customer",
+    "dim_seller",
+    "dim_time",
+    "dim_product_category",
+)
+
+
+def _stored(s: Source, *names: str) -> dict[str, DataFrame]:
+    return {name: s.stored(name) for name in names}
 
 
 @query
 def revenue_mart(s: Source) -> DataFrame:
-    return marts.build_mart("revenue_mart", _sales_tables(s))
+    return marts.build_mart("revenue_mart", _stored(s, *_STAR))
 
 
 @query
 def cashflow_mart(s: Source) -> DataFrame:
-    payments = s.clean("order_payments")
-    tables = {
-        "fact_payments": facts.fact_payments(s.clean("orders"), payments),
-        "dim_payment_type": dims.dim_payment_type(payments),
-        "dim_time": s.dim_time(),
-    }
+    tables = _stored(s, "fact_payments", "dim_payment_type", "dim_time")
     return marts.build_mart("cashflow_mart", tables)
 
 
 @query
 def customer_experience_mart(s: Source) -> DataFrame:
-    tables = _sales_tables(s) | {"fact_reviews": _fact_reviews(s)}
-    return marts.build_mart("customer_experience_mart", tables)
+    return marts.build_mart("customer_experience_mart", _stored(s, "fact_reviews", *_STAR))
 
 
 @query
 def logistics_mart(s: Source) -> DataFrame:
-    tables = _sales_tables(s) | {"fact_shipment": _fact_shipment(s)}
-    return marts.build_mart("logistics_mart", tables)
+    return marts.build_mart("logistics_mart", _stored(s, "fact_shipment", *_STAR))
 
 
 # --- features, training, scoring ---
 
 
 def _training_features(s: Source) -> DataFrame:
-    return features.training_features(_fact_sales(s), _fact_reviews(s))
+    return features.training_features(s.stored("fact_sales"), s.stored("fact_reviews"))
 
 
 def _given_scores(s: Source) -> DataFrame:
@@ -748,7 +719,7 @@ def ml_features(s: Source) -> DataFrame:
 
 @query
 def scoring_features(s: Source) -> DataFrame:
-    return features.scoring_features(_fact_sales(s))
+    return features.scoring_features(s.stored("fact_sales"))
 
 
 @query
@@ -776,7 +747,7 @@ def ml_classification_report(s: Source) -> DataFrame:
 @query
 def ml_mean_impute(s: Source) -> DataFrame:
     filled = scoring.impute_means(
-        features.scoring_features(_fact_sales(s)), _training_features(s)
+        features.scoring_features(s.stored("fact_sales")), _training_features(s)
     )
     return filled.select(
         "order_id", *[F.round(c, 6).alias(c) for c in features.FEATURES]
@@ -792,7 +763,7 @@ def _canceled_alerts(s: Source, sales: DataFrame) -> DataFrame:
 
 @query
 def scoring_candidates(s: Source) -> DataFrame:
-    sales = _fact_sales(s)
+    sales = s.stored("fact_sales")
     return scoring.scoring_candidates(sales, _canceled_alerts(s, sales))
 
 
@@ -817,10 +788,7 @@ def ml_model_report(s: Source) -> DataFrame:
 @query
 def score_new_orders(s: Source) -> DataFrame:
     """A first run up to the end of 2000 and a second one over all sales, with a saved model."""
-    table = SnapshotTable(s.spark, shared_dir(s.spark, "fact-sales"))
-    table.write(_fact_sales(s))
-    sales = table.read()
-    training = features.training_features(sales, _fact_reviews(s))
+    sales, training = s.stored("fact_sales"), _training_features(s)
     fitted, _ = model.train(training)
     path = shared_dir(s.spark, "model")
     model.save_model(fitted, path)

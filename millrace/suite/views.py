@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from millrace.functions.cleaning import MONEY, clean
 from millrace.operators.scd import scd2_apply, scd2_initial
 from millrace.plans import dimensions as dims
-from millrace.session import configure
+from millrace.plans.warehouse import FACTS, REPLACED, VERSIONED, Warehouse
+from millrace.session import configure, shared_dir
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -25,6 +26,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 SECOND_LOAD = "1998-01-01 00:00:00"
 
 
+# Folder of the stored dimensions and facts, by application and test tables.
+_warehouses: dict[tuple[str, str], str] = {}
+
+
 def text(column: str) -> Column:
     return F.col(column).cast("string")
 
@@ -362,49 +367,19 @@ class Source:
     def clean_next(self, entity: str) -> DataFrame:
         return clean(getattr(self, f"{entity}_next")(), entity)
 
-    # --- dimensions after two loads ---
+    # --- dimensions after two loads, as plans ---
 
-    def _versioned(self, spec: dims.Versioned, first: DataFrame, second: DataFrame) -> DataFrame:
-        return scd2_apply(
-            scd2_initial(first, spec.business_key, spec.surrogate),
-            second,
-            spec.business_key,
-            spec.surrogate,
-            spec.tracked,
-            SECOND_LOAD,
-        )
+    def batches(self, dimension: str) -> tuple[DataFrame, DataFrame]:
+        """Rows of a versioned dimension's two loads."""
+        _, entity, rows_of = VERSIONED[dimension]
+        return rows_of(self.clean(entity)), rows_of(self.clean_next(entity))
 
-    def customer_batches(self) -> tuple[DataFrame, DataFrame]:
-        return (
-            dims.customer_rows(self.clean("customers")),
-            dims.customer_rows(self.clean_next("customers")),
-        )
+    def versioned(self, dimension: str) -> DataFrame:
+        spec, _, _ = VERSIONED[dimension]
+        first, second = self.batches(dimension)
+        keys = (spec.business_key, spec.surrogate)
+        return scd2_apply(scd2_initial(first, *keys), second, *keys, spec.tracked, SECOND_LOAD)
 
-    @once
-    def dim_customer(self) -> DataFrame:
-        return self._versioned(dims.CUSTOMER, *self.customer_batches())
-
-    @once
-    def dim_seller(self) -> DataFrame:
-        return self._versioned(
-            dims.SELLER,
-            dims.seller_rows(self.clean("sellers")),
-            dims.seller_rows(self.clean_next("sellers")),
-        )
-
-    @once
-    def dim_product(self) -> DataFrame:
-        return self._versioned(
-            dims.PRODUCT,
-            dims.product_rows(self.clean("products")),
-            dims.product_rows(self.clean_next("products")),
-        )
-
-    @once
-    def dim_product_category(self) -> DataFrame:
-        return dims.dim_product_category(self.clean("product_category_name_translation"))
-
-    @once
     def dim_time(self) -> DataFrame:
         """Calendar that holds the dates of all orders and events."""
         dates = (
@@ -413,3 +388,42 @@ class Source:
             .unionByName(self.table("events").select(F.col("ts").alias("day")))
         )
         return dims.dim_time_covering(dates, "day")
+
+    # --- stored dimensions and facts ---
+
+    def warehouse(self) -> Warehouse:
+        """Where this application keeps the warehouse tables of these test tables."""
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _warehouses:
+            _warehouses[key] = shared_dir(self.spark, "warehouse")
+        return Warehouse(self.spark, _warehouses[key])
+
+    def entities(self) -> dict[str, DataFrame]:
+        names = ("orders", "order_items", "order_payments", "order_reviews")
+        return {name: self.clean(name) for name in names}
+
+    @once
+    def stored(self, name: str) -> DataFrame:
+        """A warehouse table; loaded on first use, as the load before this one would have."""
+        warehouse = self.warehouse()
+        if not warehouse.table("dw_db", name).exists():
+            if name in VERSIONED:
+                first, second = self.batches(name)
+                warehouse.load_versioned(name, first, SECOND_LOAD)
+                warehouse.load_versioned(name, second, SECOND_LOAD)
+            elif name in FACTS:
+                for dimension in VERSIONED:
+                    self.stored(dimension)
+                warehouse.load_fact(name, self.entities())
+            elif name == "dim_time":
+                warehouse.replace(name, self.dim_time())
+            else:
+                entity, build = REPLACED[name]
+                warehouse.replace(name, build(self.clean(entity)))
+        return warehouse.read(name)
+
+    def fact(self, name: str, **entities: DataFrame) -> DataFrame:
+        """A fact computed from the entities and the stored dimensions."""
+        for dimension in VERSIONED:
+            self.stored(dimension)
+        return self.warehouse().fact(name, self.entities() | entities)
