@@ -93,11 +93,16 @@ def build_pipeline(label: str = "label", features: tuple[str, ...] = FEATURES) -
     )
 
 
-def train(features: DataFrame, **options) -> tuple[PipelineModel, DataFrame]:
-    """Fit on the training part; returns the model and the test part with predictions."""
+def train(features: DataFrame, path: str, **options) -> tuple[PipelineModel, DataFrame]:
+    """Fit on the training part and save; returns the saved model and the scored test part.
+
+    The model is used as loaded: a fitted one carries its training summary, which
+    holds the session and cannot always be shipped to executors.
+    """
     weighted = with_class_weight(complete_rows(features))
     train_part, test_part = split(weighted, **options)
-    model = build_pipeline().fit(train_part)
+    save_model(build_pipeline().fit(train_part), path)
+    model = load_model(path)
     return model, with_score(model.transform(test_part))
 
 

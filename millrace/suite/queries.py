@@ -769,14 +769,14 @@ def scoring_candidates(s: Source) -> DataFrame:
 
 @query
 def ml_train_predict(s: Source) -> DataFrame:
-    _, predictions = model.train(_training_features(s))
+    _, predictions = model.train(_training_features(s), shared_dir(s.spark, "model"))
     return predictions.select("order_id", "label", "score", "prediction")
 
 
 @query
 def ml_model_report(s: Source) -> DataFrame:
     """Report of a trained model at its chosen threshold, with the area under the ROC curve."""
-    _, predictions = model.train(_training_features(s))
+    _, predictions = model.train(_training_features(s), shared_dir(s.spark, "model"))
     threshold, _ = evaluation.best_threshold(predictions)
     return evaluation.classification_report(predictions, threshold).select(
         "*",
@@ -789,17 +789,14 @@ def ml_model_report(s: Source) -> DataFrame:
 def score_new_orders(s: Source) -> DataFrame:
     """A first run up to the end of 2000 and a second one over all sales, with a saved model."""
     sales, training = s.stored("fact_sales"), _training_features(s)
-    fitted, _ = model.train(training)
-    path = shared_dir(s.spark, "model")
-    model.save_model(fitted, path)
-    loaded = model.load_model(path)
+    fitted, _ = model.train(training, shared_dir(s.spark, "model"))
 
     alerts_path = shared_dir(s.spark, "alerts")
     early = sales.where("purchase_time_key <= 20001231")
-    first = scoring.score_new_orders(early, training, loaded, None, "2001-01-01 06:00:00")
+    first = scoring.score_new_orders(early, training, fitted, None, "2001-01-01 06:00:00")
     first.write.mode("append").parquet(alerts_path)
     held = s.spark.read.parquet(alerts_path)
-    second = scoring.score_new_orders(sales, training, loaded, held, "2001-08-02 06:00:00")
+    second = scoring.score_new_orders(sales, training, fitted, held, "2001-08-02 06:00:00")
     second.write.mode("append").parquet(alerts_path)
     return s.spark.read.parquet(alerts_path)
 
