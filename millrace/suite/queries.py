@@ -819,7 +819,7 @@ def cdc_bronze_partitions(s: Source) -> DataFrame:
     )
 
 
-def _as_files(s: Source, rows: DataFrame, name: str, files: int = 4) -> str:
+def _as_files(s: Source, rows: DataFrame, name: str, files: int = 16) -> str:
     """Write a feed as several files, so that a stream over it has several batches."""
     path = shared_dir(s.spark, name)
     rows.repartition(files).write.parquet(path)
@@ -827,7 +827,7 @@ def _as_files(s: Source, rows: DataFrame, name: str, files: int = 4) -> str:
 
 
 def _file_feed(s: Source, path: str) -> DataFrame:
-    return feed.file_feed(s.spark, path, max_files=2)
+    return feed.file_feed(s.spark, path, max_files=8)
 
 
 def _clock():
