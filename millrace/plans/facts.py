@@ -23,10 +23,16 @@ FACT_KEYS = {
 
 
 def order_lines(items: DataFrame) -> DataFrame:
-    """One row per order, product and seller; the price is that of the lowest item number."""
+    """One row per order, product and seller; the price is that of the lowest item number.
+
+    Items of one number are ranked by price. The rank is a single decimal, not a
+    struct, which keeps the aggregation hash-based.
+    """
+    number = F.coalesce(F.col("order_item_id").try_cast("int"), F.lit(2**31 - 1))
+    rank = number.cast("decimal(10,0)") * F.lit(10**12).cast("decimal(13,0)") + F.col("price")
     return items.groupBy("order_id", "product_id", "seller_id").agg(
         F.count("order_item_id").alias("quantity"),
-        F.min_by("price", "order_item_id").alias("sale_price"),
+        F.min_by("price", rank).alias("sale_price"),
         F.sum("freight_value").alias("freight_value"),
     )
 

@@ -432,7 +432,7 @@ oracle("dim_time", "SELECT * FROM d_time")
 
 view("order_lines", """
 SELECT order_id, product_id, seller_id, count(order_item_id) AS quantity,
-  arg_min(price, order_item_id) AS sale_price, sum(freight_value) AS freight_value
+  arg_min(price, struct_pack(a := order_item_id, b := price)) AS sale_price, sum(freight_value) AS freight_value
 FROM items_clean GROUP BY order_id, product_id, seller_id
 """)
 
@@ -473,7 +473,7 @@ for part, condition in (
 ):
     view(f"{part}_lines", f"""
 SELECT order_id, product_id, seller_id, count(order_item_id) AS quantity,
-  arg_min(price, order_item_id) AS sale_price, sum(freight_value) AS freight_value
+  arg_min(price, struct_pack(a := order_item_id, b := price)) AS sale_price, sum(freight_value) AS freight_value
 FROM items_clean WHERE {condition} GROUP BY order_id, product_id, seller_id
 """)
     view(f"{part}_sales", sales(f"{part}_lines"))
