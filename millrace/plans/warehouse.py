@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.functions.cleaning import zip_code
 from millrace.operators.merge import sweep_deleted
 from millrace.operators.scd import scd2_apply, scd2_initial
 from millrace.plans import dimensions as dims
@@ -66,10 +68,15 @@ class Warehouse:
         )
 
     def sweep(self, name: str, source_keys: DataFrame) -> int:
-        """Mark rows deleted at the source as inactive; writes nothing when there are none."""
+        """Mark rows deleted at the source as inactive; writes nothing when there are none.
+
+        The source's keys are brought into the form that cleaning gives them.
+        """
         entity = ENTITIES[name]
         table = self.table(SILVER, name)
-        swept = sweep_deleted(table.read(), source_keys, entity.keys)
+        held = table.read()
+        keys = source_keys.select(*[_as_cleaned(k).cast(held.schema[k].dataType).alias(k) for k in entity.keys])
+        swept = sweep_deleted(held, keys, entity.keys)
         gone = swept.where("_action = 'soft_delete'").count()
         if gone:
             table.write(swept.drop("_action"))
@@ -155,6 +162,10 @@ class Warehouse:
                     register(self.spark, table, layer, f"{prefix}{name}")
 
 
+def _as_cleaned(key: str) -> Column:
+    return zip_code(F.col(key)) if key.endswith("zip_code_prefix") else F.trim(F.col(key).cast("string"))
+
+
 class _Entities:
     def __init__(self, warehouse: Warehouse, given: Mapping[str, DataFrame]):
         self.warehouse = warehouse

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """CSV with a header line. The declared schema avoids an inference pass over the data."""
     return spark.read.csv(path, schema=schema, header=True, enforceSchema=False)
 

@@ -19,6 +19,11 @@ def _filesystem(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _filesystem(spark, path)
+    return fs.exists(hadoop_path)
+
+
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
