@@ -24,6 +24,7 @@ def parser() -> argparse.ArgumentParser:
         sub = jobs.add_parser(name, help=text)
         sub.add_argument("--root", required=True, help="folder of the lakehouse")
         sub.add_argument("--active_only", action="store_true", help="leave out soft-deleted rows")
+        sub.add_argument("--buckets", type=int, help="buckets of the cleaned tables; fixed once used")
         return sub
 
     seed = job("seed", "load CSV files once")
@@ -63,7 +64,7 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = get_session(f"millrace-{args.job}")
-    house = Lakehouse(spark, args.root, args.active_only)
+    house = Lakehouse(spark, args.root, args.active_only, args.buckets)
     now = datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
 
     if args.job == "seed":

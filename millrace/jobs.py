@@ -30,10 +30,16 @@ FEED_SEQUENCE = "offset"
 
 
 class Lakehouse:
-    def __init__(self, spark: SparkSession, root: str, active_only: bool = False):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        active_only: bool = False,
+        buckets: int | None = None,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.warehouse = Warehouse(spark, self.root, active_only)
+        self.warehouse = Warehouse(spark, self.root, active_only, buckets)
 
     def path(self, *parts: str) -> str:
         return "/".join((self.root, *parts))
@@ -100,6 +106,7 @@ class Lakehouse:
                 record_ddl or entity.record_ddl,
                 name,
                 FEED_SEQUENCE,
+                buckets=self.warehouse.buckets,
             )
         else:
             query = silver.merge_row_stream(
@@ -109,6 +116,7 @@ class Lakehouse:
                 entity.keys,
                 entity.watermark,
                 name,
+                buckets=self.warehouse.buckets,
             )
         feed.finish(query, timeout=24 * 3600)
         if source_keys is not None and entity.mode == "incremental":

@@ -20,7 +20,7 @@ from millrace.plans import facts
 from millrace.plans.marts import MARTS, build_mart
 from millrace.sources.entities import ENTITIES
 from millrace.sources.tables import SnapshotTable, register
-from millrace.streaming.silver import apply_rows, snapshot_rows
+from millrace.streaming.silver import apply_rows, open_table, snapshot_rows
 
 VERSIONED = {
     "dim_customer": (dims.CUSTOMER, "customers", dims.customer_rows),
@@ -39,13 +39,26 @@ SILVER, GOLD, MART = "silver", "dw_db", "mart_db"
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, active_only: bool = False):
-        """active_only: leave soft-deleted rows of the cleaned entities out of the loads."""
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        active_only: bool = False,
+        buckets: int | None = None,
+    ):
+        """active_only: leave soft-deleted rows of the cleaned entities out of the loads.
+        buckets: keep the cleaned entities in so many buckets, for merges that touch few.
+        """
         self.spark = spark
         self.root = root.rstrip("/")
         self.active_only = active_only
+        self.buckets = buckets
 
     def table(self, layer: str, name: str) -> SnapshotTable:
+        if layer == SILVER:
+            return open_table(
+                self.spark, f"{self.root}/{layer}/{name}", ENTITIES[name].keys, self.buckets
+            )
         return SnapshotTable(self.spark, f"{self.root}/{layer}/{name}")
 
     def read(self, name: str) -> DataFrame:

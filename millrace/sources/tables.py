@@ -8,9 +8,13 @@ A job that dies half-way leaves the previous snapshot in force.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+_BUCKET = "bucket_of_key"
 _FOLDER = re.compile(r"^v=(\d+)(?:\.(.+))?$")
 
 
@@ -56,6 +60,10 @@ class SnapshotTable:
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.folder())
 
+    def read_for(self, rows: DataFrame) -> DataFrame:
+        """The part of the table that a merge of ``rows`` must read and will write: all of it."""
+        return self.read()
+
     def write(
         self, df: DataFrame, tag: str | None = None, partition_by: list[str] | None = None
     ) -> str:
@@ -82,6 +90,74 @@ class SnapshotTable:
         return f"{self.path}/v={version:08d}" + (f".{tag}" if tag else "")
 
 
+class BucketedTable(SnapshotTable):
+    """A table for merges that touch few of its keys: only their buckets are rewritten.
+
+    Rows are spread over a fixed number of buckets by a hash of the key. A write
+    holds the buckets it replaces; the current table is the newest complete copy
+    of each. The number of buckets is part of the folder names and cannot change.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int):
+        super().__init__(spark, path)
+        self.keys = list(keys)
+        self.buckets = buckets
+
+    def bucket(self) -> Column:
+        number = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.buckets))
+        return F.concat(F.lpad(number.cast("string"), 6, "0"), F.lit(f"-{self.buckets}"))
+
+    def copies(self) -> dict[str, list[str]]:
+        """Folders of each bucket, oldest first."""
+        found = defaultdict(list)
+        complete = {self._folder(v, tag) for v, tag in self.snapshots().items()}
+        fs, pattern = _filesystem(self.spark, f"{self.path}/v=*/{_BUCKET}=*")
+        # Version numbers are padded, so folder names sort by age.
+        for folder in sorted(status.getPath().toString() for status in fs.globStatus(pattern) or []):
+            version, bucket = folder.rsplit("/", 2)[1:]
+            if f"{self.path}/{version}" in complete:
+                found[bucket.removeprefix(f"{_BUCKET}=")].append(folder)
+        wrong = [b for b in found if not b.endswith(f"-{self.buckets}")]
+        if wrong:
+            raise ValueError(f"{self.path} has another number of buckets: {wrong[0]}")
+        return found
+
+    def read(self) -> DataFrame:
+        return self._read([folders[-1] for folders in self.copies().values()])
+
+    def read_for(self, rows: DataFrame) -> DataFrame:
+        """The buckets that hold keys of ``rows``; their names are bounded by the bucket count."""
+        touched = {r[0] for r in rows.select(self.bucket()).distinct().collect()}
+        copies = self.copies()
+        folders = [copies[b][-1] for b in touched if b in copies]
+        if not folders:
+            return self.spark.createDataFrame([], self.read().schema)
+        return self._read(folders)
+
+    def _read(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            raise FileNotFoundError(f"no complete snapshot in {self.path}")
+        # Read as roots of their own, so that no column is made from the folder names.
+        return self.spark.read.option("mergeSchema", "true").parquet(*folders)
+
+    def folder(self) -> str:
+        raise NotImplementedError("the current rows are in the folders of several writes")
+
+    def write(
+        self, df: DataFrame, tag: str | None = None, partition_by: list[str] | None = None
+    ) -> str:
+        # Rebalanced, so that a bucket becomes few files and a large one is still split.
+        rows = df.withColumn(_BUCKET, self.bucket()).hint("rebalance", _BUCKET)
+        return super().write(rows, tag, [_BUCKET, *(partition_by or [])])
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Drop all but the newest ``keep`` copies of each bucket."""
+        for folders in self.copies().values():
+            for folder in folders[:-keep]:
+                fs, path = _filesystem(self.spark, folder)
+                fs.delete(path, True)
+
+
 def overwrite_and_register(
     spark: SparkSession, df: DataFrame, path: str, database: str, name: str
 ) -> DataFrame:
@@ -93,8 +169,15 @@ def overwrite_and_register(
 
 
 def register(spark: SparkSession, table: SnapshotTable, database: str, name: str) -> None:
-    """Make the current snapshot queryable as ``database.name`` (an external table)."""
+    """Make the current snapshot queryable as ``database.name`` (an external table).
+
+    A bucketed table becomes the temporary view ``database_name`` instead.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    if isinstance(table, BucketedTable):
+        # Several folders make up the current rows; a view over them serves this session.
+        table.read().createOrReplaceTempView(f"{database}_{name}")
+        return
     spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
     spark.catalog.createTable(f"{database}.{name}", path=table.folder(), source="parquet")
     spark.catalog.refreshTable(f"{database}.{name}")

@@ -5,14 +5,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.cleaning import clean
 from millrace.operators.dedup import latest_per_key
 from millrace.operators.merge import ACTION, merge_into
-from millrace.sources.tables import SnapshotTable
+from millrace.sources.tables import BucketedTable, SnapshotTable
 from millrace.streaming.feed import DRAIN
 
 logger = logging.getLogger(__name__)
@@ -55,6 +55,12 @@ def snapshot_rows(
     return latest_per_key(cleaned, keys, [latest_by])
 
 
+def open_table(
+    spark: SparkSession, path: str, keys: Sequence[str], buckets: int | None = None
+) -> SnapshotTable:
+    return BucketedTable(spark, path, keys, buckets) if buckets else SnapshotTable(spark, path)
+
+
 def apply_rows(
     table: SnapshotTable,
     rows: DataFrame,
@@ -69,7 +75,9 @@ def apply_rows(
     """
     seen = Observation()
     if table.exists():
-        merged = merge_into(table.read(), rows, keys, newer_by=newer_by, **merge_options)
+        # Rows that are absent from a snapshot can be anywhere in the table.
+        held = table.read() if merge_options.get("absent") else table.read_for(rows)
+        merged = merge_into(held, rows, keys, newer_by=newer_by, **merge_options)
     else:
         merged = rows.withColumn(ACTION, F.lit("insert"))
     actions = ("insert", "update", "soft_delete", "keep")
@@ -89,9 +97,13 @@ def merge_stream(
     to_rows: Callable[[DataFrame], DataFrame],
     newer_by: Sequence[str] | None = None,
     trigger: Mapping[str, object] = DRAIN,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Merge each micro-batch into the table, exactly once.
 
+    buckets: keep the table in so many buckets and rewrite only those that hold
+    keys of the batch.
+
     The snapshot written for a batch is tagged with the query's id (kept in the
     checkpoint) and the batch number. When a batch is replayed after a failure
     and its snapshot is complete, it is skipped; when it is not, the batch runs
@@ -100,7 +112,7 @@ def merge_stream(
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        table = SnapshotTable(spark, table_path)
+        table = open_table(spark, table_path, keys, buckets)
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         tag = f"{query_id}-{batch_id}"
         if table.has_tag(tag):

@@ -37,8 +37,8 @@ def test_envelope_accepts_binary_values(spark):
 class Feed:
     """A bronze folder that grows, and the table merged from it."""
 
-    def __init__(self, spark, root):
-        self.spark, self.root = spark, str(root)
+    def __init__(self, spark, root, buckets=None):
+        self.spark, self.root, self.buckets = spark, str(root), buckets
 
     def add(self, *changes):
         self.spark.createDataFrame(list(changes), BRONZE).coalesce(1).write.mode("append").parquet(
@@ -49,14 +49,14 @@ class Feed:
         stream = feed.file_feed(self.spark, f"{self.root}/bronze", BRONZE, max_files=1)
         query = silver.merge_change_stream(
             stream, f"{self.root}/silver", f"{self.root}/checkpoint", ["order_id"], RECORD,
-            "orders", sequence,
+            "orders", sequence, buckets=self.buckets,
         )
         feed.finish(query, timeout=120)
         return self.table
 
     @property
     def table(self):
-        return SnapshotTable(self.spark, f"{self.root}/silver")
+        return silver.open_table(self.spark, f"{self.root}/silver", ["order_id"], self.buckets)
 
 
 def test_changes_drain_restart_and_late_arrival(spark, rows, tmp_path):
@@ -88,13 +88,13 @@ def test_replayed_batch_is_applied_once(spark, rows, tmp_path):
     assert f.table.snapshots() == before
 
 
-@pytest.mark.parametrize("cuts", [1, 3])
-def test_state_does_not_depend_on_the_cut_into_batches(spark, rows, tmp_path, cuts):
+@pytest.mark.parametrize(("cuts", "buckets"), [(1, None), (3, None), (3, 4)])
+def test_state_does_not_depend_on_the_cut_into_batches(spark, rows, tmp_path, cuts, buckets):
     changes = [
         change("d" if (i * 7) % 11 == 0 else "u", str((i * i) % 5), f"s{i}", (i * 13) % 40, i)
         for i in range(60)
     ]
-    f = Feed(spark, tmp_path / str(cuts))
+    f = Feed(spark, tmp_path / str(cuts), buckets)
     for c in range(cuts):
         f.add(*changes[c::cuts])
     last = {}
@@ -153,3 +153,41 @@ def test_failed_stream_raises(spark, tmp_path):
     )
     with pytest.raises(Exception):
         feed.finish(query, timeout=60)
+
+
+def test_only_touched_buckets_are_rewritten(spark, rows, tmp_path):
+    f = Feed(spark, tmp_path, buckets=8)
+    f.add(*[change("c", str(i), "new", 1, i) for i in range(100)])
+    f.drain()
+    first = f.table.copies()
+    assert len(first) == 8 and f.table.read().count() == 100
+    f.add(change("u", "7", "paid", 2, 200), change("c", "new", "new", 2, 201))
+    f.drain()
+    second = f.table.copies()
+    rewritten = [b for b in second if second[b][-1] != first[b][-1]]
+    assert 1 <= len(rewritten) <= 2
+    got = rows(f.table.read(), "order_id", "order_status")
+    wanted = {str(i): "new" for i in range(100)} | {"7": "paid", "new": "new"}
+    assert got == sorted(wanted.items())
+    for n in range(3):  # old copies go, current ones stay
+        f.add(change("u", "7", f"s{n}", 3 + n, 300 + n))
+        f.drain()
+    assert max(map(len, f.table.copies().values())) == 2
+    assert rows(f.table.read().where("order_id = '7'"), "order_status") == [("s2",)]
+    assert f.table.read().count() == 101
+
+
+def test_bucket_count_is_fixed(spark, tmp_path):
+    f = Feed(spark, tmp_path, buckets=4)
+    f.add(change("c", "1", "new", 1, 1))
+    f.drain()
+    with pytest.raises(ValueError):
+        silver.open_table(spark, f"{f.root}/silver", ["order_id"], 5).read()
+
+
+def test_new_column_of_a_later_batch(spark, rows, tmp_path):
+    table = silver.open_table(spark, str(tmp_path / "t"), ["k"], 4)
+    silver.apply_rows(table, spark.range(20).selectExpr("id AS k", "'a' AS v"), ["k"])
+    silver.apply_rows(table, spark.range(3, 4).selectExpr("id AS k", "'b' AS v", "1 AS w"), ["k"])
+    assert rows(table.read().where("w = 1")) == [(3, "b", 1)]
+    assert table.read().count() == 20
