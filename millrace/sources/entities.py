@@ -102,13 +102,6 @@ ENTITIES = {
 
 # File names of the seed dataset, by entity.
 SEED_FILES = {
-    "customers": "olist_customers_dataset.csv",
-    "geolocation": "olist_geolocation_dataset.csv",
-    "sellers": "olist_sellers_dataset.csv",
-    "products": "olist_products_dataset.csv",
-    "product_category_name_translation": "product_category_name_translation.csv",
-    "orders": "olist_orders_dataset.csv",
-    "order_items": "olist_order_items_dataset.csv",
-    "order_payments": "olist_order_payments_dataset.csv",
-    "order_reviews": "olist_order_reviews_dataset.csv",
+    name: f"{name}.csv" if name == "product_category_name_translation" else f"*_{name}_dataset.csv"
+    for name in DDL
 }

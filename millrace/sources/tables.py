@@ -23,9 +23,10 @@ def _filesystem(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _filesystem(spark, path)
-    return fs.exists(hadoop_path)
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or any path of a glob pattern, exists."""
+    fs, hadoop_path = _filesystem(spark, pattern)
+    return bool(fs.globStatus(hadoop_path))
 
 
 class SnapshotTable:

@@ -195,9 +195,14 @@ def test_seed_files(spark, tmp_path):
     (tmp_path / "product_category_name_translation.csv").write_bytes(
         b"\xef\xbb\xbfproduct_category_name,product_category_name_english\nauto,car\nauto,car\n"
     )
+    (tmp_path / "shop_sellers_dataset.csv").write_text(
+        "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01234,x,y\n"
+    )
     house = Lakehouse(spark, str(tmp_path / "root"))
-    assert house.seed(str(tmp_path)) == {"product_category_name_translation": True}
-    assert house.seed(str(tmp_path)) == {"product_category_name_translation": False}
+    names = ("sellers", "product_category_name_translation")
+    assert house.seed(str(tmp_path)) == dict.fromkeys(names, True)
+    assert house.seed(str(tmp_path)) == dict.fromkeys(names, False)
+    assert spark.read.parquet(house.path("source", "sellers", "v=*")).first().seller_zip_code_prefix == "01234"
 
 
 def test_command_line():
