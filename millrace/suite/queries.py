@@ -21,7 +21,7 @@ from millrace.sources import landing, readers
 from millrace.sources.entities import CHANGE_RECORD_DDL
 from millrace.sources.tables import SnapshotTable
 from millrace.streaming import feed, silver
-from millrace.suite.views import SECOND_LOAD, Source
+from millrace.suite.views import Source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 

@@ -3,7 +3,6 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.merge import merge_into
 from millrace.sources.tables import SnapshotTable
 from millrace.streaming import feed, silver
 
