@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,37 @@ def written(df: DataFrame, purpose: str, partition_by: str | None = None) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _without(raw: bytes, spans) -> bytes:
+    at, parts = 0, []
+    for span in spans:
+        parts.append(raw[at : span["start"]])
+        at = span["end"]
+    return b"".join([*parts, raw[at:]])
+
+
+def cut_bytes(text: Column, spans: Column) -> Column:
+    """UTF-8 bytes of ``text`` without the byte ``spans`` (start, end), which are in order."""
+
+    @F.pandas_udf("binary")
+    def without(texts: pd.Series, cuts: pd.Series) -> pd.Series:
+        pairs = zip(texts, cuts, strict=True)
+        return pd.Series([_without(t.encode("utf-8", "surrogatepass"), s) for t, s in pairs], dtype=object)
+
+    return without(text, spans)
+
+
+def cut(text: Column, spans: Column) -> Column:
+    """The same as a string; parts of characters that a cut leaves go with it."""
+
+    @F.pandas_udf("string")
+    def without(texts: pd.Series, cuts: pd.Series) -> pd.Series:
+        pairs = zip(texts, cuts, strict=True)
+        kept = [_without(t.encode("utf-8", "surrogatepass"), s) if len(s) else t.encode() for t, s in pairs]
+        return pd.Series([k.decode("utf-8", "ignore") for k in kept], dtype=object)
+
+    return without(text, spans)
+
+
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.union(edges.select(F.col("dst"), F.col("src"))).toDF("u", "v")
 

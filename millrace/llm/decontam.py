@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import FOLD, col, fresh, text_of
+from millrace.llm.common import FOLD, col, cut, fresh, text_of
 
 RESULT = (
     "n_words long, n_hit long, items array<string>,"
@@ -208,26 +208,6 @@ def find_contamination(
     return result
 
 
-def cut(text: Column, spans: Column) -> Column:
-    """``text`` without the byte ``spans``."""
-
-    @F.pandas_udf("string")
-    def without(texts: pd.Series, cuts: pd.Series) -> pd.Series:
-        out = []
-        for body, spans in zip(texts, cuts, strict=True):
-            if spans is None or not len(spans):
-                out.append(body)
-                continue
-            raw, at, parts = body.encode("utf-8", "surrogatepass"), 0, []
-            for span in spans:
-                parts.append(raw[at : span["start"]])
-                at = span["end"]
-            out.append(b"".join([*parts, raw[at:]]).decode("utf-8", "replace"))
-        return pd.Series(out, dtype=object)
-
-    return without(text, spans)
-
-
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontam, licences, quality, simhash, units, warc
-from millrace.llm.common import table, text_of
+from millrace.llm import bpe, chat, decontam, licences, quality, simhash, suffix, units, warc
+from millrace.llm.common import cut_bytes, table, text_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -76,6 +76,19 @@ def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = suffix.mark_repeats(docs)
+    kept = F.when(F.size("repeats") == 0, text_of("text").cast("binary")).otherwise(cut_bytes(text_of("text"), F.col("repeats")))
+    return marked.select(
+        "doc_id",
+        F.octet_length(text_of("text")).cast("long").alias("n_bytes"),
+        F.aggregate("repeats", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+        F.size("repeats").cast("long").alias("n_spans"),
+        F.sha2(kept, 256).alias("kept_sha256"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select(
@@ -118,6 +131,7 @@ QUERIES = {
         op3_warc_fixity,
         op4_chat_format,
         op5_licence_scan,
+        op6_suffix_dedup,
         op8_simhash,
         op9_unit_dedup,
         op10_decontaminate,

@@ -10,8 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import col, fresh, text_of, written
-from millrace.llm.decontam import cut
+from millrace.llm.common import col, cut, fresh, text_of, written
 
 # A unit ends with its line or, within a line, with a sentence.
 UNIT = re.compile(rb"[^\n]*?(?:\n|[.!?] +(?=\S)|\Z)")
