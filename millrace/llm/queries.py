@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontam, licences, quality, simhash, suffix, units, warc
+from millrace.llm import bpe, chat, decontam, licences, logbilinear, quality, simhash, suffix, units, warc
 from millrace.llm.common import cut_bytes, table, text_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -89,6 +89,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logbilinear.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select(
@@ -132,6 +136,7 @@ QUERIES = {
         op4_chat_format,
         op5_licence_scan,
         op6_suffix_dedup,
+        op7_log_bilinear,
         op8_simhash,
         op9_unit_dedup,
         op10_decontaminate,
