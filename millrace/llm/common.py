@@ -40,6 +40,15 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with ``value`` as a column that later filters read and do not recompute.
+
+    A filter is otherwise moved below a projection by writing the column's expression, and all
+    that it is made of, into the filter once more. It is not moved below a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def text_of(name: str) -> Column:
     return F.coalesce(col(name).cast("string"), F.lit(""))
 

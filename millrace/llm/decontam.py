@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import FOLD, col, cut, fresh, text_of
+from millrace.llm.common import FOLD, col, cut, fresh, held, text_of
 
 RESULT = (
     "n_words long, n_hit long, items array<string>,"
@@ -221,7 +221,7 @@ def decontaminate(
     go, other bytes stay. Documents without hits are returned unchanged, null texts included.
     """
     (found,) = fresh(docs, "found")
-    marked = docs.withColumn(found, find_contamination(docs, benchmark, text, **options))
+    marked = held(docs, found, find_contamination(docs, benchmark, text, **options))
     n_hit, n_words = F.col(f"{found}.n_hit"), F.col(f"{found}.n_words")
     kept = marked.where((n_hit == 0) | (n_hit < F.lit(drop_share) * n_words))
     body = F.when(n_hit == 0, col(text)).otherwise(cut(text_of(text), F.col(f"{found}.spans")))

@@ -94,24 +94,32 @@ class Queue:
         self._buffer = []
 
 
-def external_order(keys: list[np.ndarray], scratch: Scratch) -> np.ndarray:
-    """Indices that sort by the arrays ``keys``, first one first; dealt into ranges when large."""
-    n = len(keys[0])
+def external_order(keys: np.ndarray, scratch: Scratch) -> np.ndarray:
+    """Indices that sort ``keys``; dealt into ranges of keys when there are many."""
+    n = len(keys)
     if n <= SORTED_AT_ONCE:
-        return np.lexsort(keys[::-1])
-    step = max(1, n // 4096)
-    sample = np.sort(keys[0][::step])
+        return np.argsort(keys)
+    sample = np.sort(keys[:: max(1, n // 4096)])
     parts = n // (SORTED_AT_ONCE // 4) + 1
     cuts = np.unique(sample[np.linspace(0, len(sample) - 1, parts + 1).astype(int)[1:-1]])
-    dealt = np.searchsorted(cuts, keys[0], side="right")
+    dealt = np.searchsorted(cuts, keys, side="right")
     out, done = scratch.array(n, np.int64), 0
     for part in range(len(cuts) + 1):
         own = np.flatnonzero(dealt == part)
-        out[done : done + len(own)] = own[np.lexsort([k[own] for k in keys[::-1]])]
+        out[done : done + len(own)] = own[np.argsort(keys[own])]
         done += len(own)
     return out
 
 
+def dense(keys: np.ndarray, scratch: Scratch) -> np.ndarray:
+    """Numbers from 0 without gaps in the order of ``keys``."""
+    order = external_order(keys, scratch)
+    own = keys[order]
+    out = np.empty(len(keys), dtype=np.int64)
+    out[order] = np.cumsum(np.concatenate(([0], own[1:] != own[:-1])))
+    return out
+
+
 class Shard:
     """A text of strings that each end with SEPARATOR, and the order of its suffixes."""
 
@@ -179,7 +187,7 @@ class Shard:
             return self.words[from_].astype(np.uint64) | pad
 
         everyone = np.arange(len(at))
-        rank = _refined(np.zeros(len(at), dtype=np.int64), word(everyone, 0), everyone, self.scratch)
+        rank = _refined(np.zeros(len(at), dtype=np.int64), dense(word(everyone, 0), self.scratch), everyone, self.scratch)
         step = 1
         while True:
             longer = np.zeros(len(at), dtype=bool)
@@ -187,7 +195,7 @@ class Shard:
             active = np.flatnonzero(longer[rank])
             if not len(active) or 8 * step > self.cap:
                 return rank
-            rank = _refined(rank, word(active, step), active, self.scratch)
+            rank = _refined(rank, dense(word(active, step), self.scratch), active, self.scratch)
             step += 1
 
     def star_order(self) -> tuple[np.ndarray, np.ndarray]:
@@ -212,14 +220,18 @@ class Shard:
             shared[rank[active]] = True
             active = np.flatnonzero(shared[rank])
             after = active + reach
-            follow = np.where(after < len(stars), rank[np.minimum(after, len(stars) - 1)], -1)
+            follow = np.where(after < len(stars), rank[np.minimum(after, len(stars) - 1)] + 1, 0)
             rank = _refined(rank, follow, active, self.scratch)
             reach *= 2
-        order = stars[external_order([rank], self.scratch)]
-        lcp = np.zeros(len(order), dtype=np.int64)
-        for begin in range(1, len(order), 1 << 20):
-            stop = min(len(order), begin + (1 << 20))
-            lcp[begin:stop] = self.common(order[begin - 1 : stop - 1], order[begin:stop])
+        place = external_order(rank, self.scratch)
+        order, rank = stars[place], rank[place]
+        # Those that still share a name share all bytes up to the cap.
+        lcp = np.full(len(order), self.cap, dtype=np.int64)
+        lcp[0] = 0
+        apart = np.flatnonzero(rank[1:] != rank[:-1]) + 1
+        for begin in range(0, len(apart), 1 << 20):
+            own = apart[begin : begin + (1 << 20)]
+            lcp[own] = self.common(order[own - 1], order[own])
         return order, lcp
 
     def run_length(self, at: int) -> int:
@@ -284,19 +296,21 @@ def _drain(queue: Queue, induce: _Induction) -> int | None:
 
 
 def _refined(rank: np.ndarray, key: np.ndarray, active: np.ndarray, scratch: Scratch) -> np.ndarray:
-    """``rank`` with the names of ``active`` elements split by ``key``. A name is the place of its
-    first element in the order, so that splitting one leaves all others as they are."""
-    order = external_order([rank[active], key], scratch)
-    r, k = rank[active][order], key[order]
-    new_name = np.empty(len(r), dtype=bool)
-    new_name[:1] = True
-    new_name[1:] = r[1:] != r[:-1]
-    group = np.maximum.accumulate(np.where(new_name, np.arange(len(r)), 0))
-    new_key = new_name.copy()
-    new_key[1:] |= k[1:] != k[:-1]
-    first = np.maximum.accumulate(np.where(new_key, np.arange(len(r)), 0))
+    """``rank`` with the names of ``active`` elements split by ``key``, which is below 2**32.
+
+    A name is the place of its first element in the order, so that splitting one leaves all
+    others as they are.
+    """
+    pair = (rank[active] << 32) | key
+    order = external_order(pair, scratch)
+    own = pair[order]
+    places = np.arange(len(own))
+    new_name = np.concatenate(([True], own[1:] >> 32 != own[:-1] >> 32))
+    new_key = np.concatenate(([True], own[1:] != own[:-1]))
+    group = np.maximum.accumulate(np.where(new_name, places, 0))
+    first = np.maximum.accumulate(np.where(new_key, places, 0))
     out = rank.copy()
-    out[active[order]] = r + (first - group)
+    out[active[order]] = (own >> 32) + (first - group)
     return out
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import col, fresh, text_of
+from millrace.llm.common import fresh, held, text_of
 
 # The base phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -201,4 +201,4 @@ def _summed_up(out: DataFrame, docs: DataFrame, w, present, places, votes, match
         labels.alias("labels"),
         best.cast("double").alias("score"),
     )
-    return out.withColumn(name, result).drop(w, present, places, votes, matches)
+    return held(out, name, result).drop(w, present, places, votes, matches)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BLANKS, col, fresh, text_of
+from millrace.llm.common import BLANKS, fresh, held, text_of
 
 # Frequent function words of the corpus's languages (en, de, fr, es).
 STOP_WORDS = list(dict.fromkeys((
@@ -111,7 +111,7 @@ def with_metrics(docs: DataFrame, text: str = "text", into: str = "metrics") ->
         "n_stop_words": F.size(F.filter(w, lambda x: x.isin(*STOP_WORDS))).cast("long"),
     }
     (own,) = fresh(out, "q_counts")
-    out = out.withColumn(own, F.struct(*[c.alias(k) for k, c in counts.items()]))
+    out = held(out, own, F.struct(*[c.alias(k) for k, c in counts.items()]))
     c = F.col(own)
     ratios = {
         "repeat_word_ratio": F.try_divide(c["n_repeat_words"], c["n_words"]),

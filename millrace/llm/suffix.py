@@ -1,10 +1,11 @@
 """Suffix-array dedup: bytes covered by long strings that start at more than one place.
 
 Two equal strings of ``length`` bytes have their anchor, the window's k-gram with the least hash,
-at the same place. So strings are grouped by anchor: each text falls into contexts, the starts
-with one anchor together with the bytes that their strings reach. Only contexts whose anchor's
-k-gram is found elsewhere can hold a repeat. They are dealt by it to shards, equal contexts once,
-and each shard's suffixes are sorted by external induced sorting (see ``induced``); where suffixes
+at the same place. Around it, all strings that begin in one band before the anchor have a region
+in common. So each text falls into contexts: the starts with one anchor and band, together with
+the bytes that their strings reach, known by the hash of the region. Only contexts whose region
+is found elsewhere can hold a repeat. They are dealt by it to shards, equal contexts once, and
+each shard's suffixes are sorted by external induced sorting (see ``induced``); where suffixes
 next to each other share ``length`` bytes or more, their starts are repeats. Every string is in
 exactly one context, and all its copies are in the same shard: the result is that of one suffix
 array over the corpus.
@@ -16,24 +17,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import col, cut, fresh, text_key, text_of, written
 from millrace.llm.induced import SEPARATOR, Scratch, Shard, repeated_starts
 
 GRAM = 32  # bytes of an anchor's k-gram, a power of two
-PLACE_BITS = 24  # of a packed order value; texts are hashed in pieces of fewer bytes
-PIECE = 1 << 22
-SHARD_BYTES = 16 << 20
-
-CONTEXT = "key: long, start: long, size: int"
+BANDS = 2
+PIECE = 1 << 18  # bytes that are hashed at once
+PLACE_BITS = 20  # of a packed order value; above a piece's size, with a string's length
+SHARD_BYTES = 4 << 20
+BASE = 0x9E3779B97F4A7C15
 
 
 def _gram_hashes(raw: np.ndarray) -> np.ndarray:
     """Hash of the GRAM bytes from each position, by doubling the span."""
     h = raw.astype(np.uint64) + np.uint64(1)
-    base, span = 0x9E3779B97F4A7C15, 1
+    base, span = BASE, 1
     while span < GRAM:
         h = h[:-span] * np.uint64(base) + h[span:]
         base, span = base * base % (1 << 64), 2 * span
@@ -54,74 +55,77 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(since[: n - width + 1], to[width - 1 : n])
 
 
-def _anchored(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each start of a string of ``length`` bytes: its anchor's place and hash."""
-    h = _gram_hashes(raw)
-    place = np.arange(len(h), dtype=np.uint64)
-    packed = (h >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | place
-    least = _sliding_min(packed, length - GRAM + 1)
-    anchor = (least & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
-    return anchor, h[anchor]
-
-
-def _contexts(anchor: np.ndarray, h: np.ndarray, length: int) -> list[tuple[int, int, int]]:
-    """(anchor hash, first start, size) of each run of starts with one anchor."""
-    first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
-    size = np.append(first[1:], len(anchor)) - first + length - 1
-    return list(zip(h[first].view(np.int64).tolist(), first.tolist(), size.tolist(), strict=True))
-
-
-def contexts_of(texts: list[bytes], length: int) -> list[list[tuple[int, int, int]]]:
-    """The contexts of each text; none for texts of fewer than ``length`` bytes.
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BASE and of its inverse, modulo 2**64."""
+    out = []
+    for base in (BASE, pow(BASE, -1, 1 << 64)):
+        factors = np.full(n, base, dtype=np.uint64)
+        factors[0] = 1
+        out.append(np.cumprod(factors, dtype=np.uint64))
+    return out[0], out[1]
 
-    Short texts are hashed together, long ones in overlapping pieces, so memory is bounded by the
-    piece, and by 16 bytes for each byte of one text.
-    """
-    out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    group: list[int] = []
-
-    def flush() -> None:
-        if not group:
-            return
-        anchor, h = _anchored(np.frombuffer(b"".join([texts[k] for k in group]), dtype=np.uint8), length)
-        begin = 0
-        for k in group:
-            own = slice(begin, begin + len(texts[k]) - length + 1)
-            out[k] = _contexts(anchor[own], h[own], length)
-            begin += len(texts[k])
-        group.clear()
 
+def contexts_of(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text number, region hash, first start, size) of the contexts of texts of ``length`` bytes or
+    more. Short texts are hashed together, long ones in overlapping pieces, so memory is bounded."""
+    powers = _powers(PIECE + 2 * length)
+    group: list[tuple[int, int, bytes]] = []
     held = 0
-    for k, text in enumerate(texts):
-        if len(text) < length:
-            continue
-        if len(text) > PIECE:
-            raw, starts = np.frombuffer(text, dtype=np.uint8), len(text) - length + 1
-            parts = []
-            for begin in range(0, starts, PIECE):
-                anchor, h = _anchored(raw[begin : min(begin + PIECE, starts) + length - 1], length)
-                parts.append((begin + anchor, h))
-            out[k] = _contexts(*map(np.concatenate, zip(*parts, strict=True)), length)
-            continue
-        if held + len(text) > PIECE:
-            flush()
-            held = 0
-        group.append(k)
-        held += len(text)
-    flush()
-    return out
-
-
-def find_contexts(text: Column, length: int) -> Column:
-    """Array of CONTEXT of a text: anchor hash, first start, and bytes that its strings reach."""
-
-    @F.pandas_udf(f"array<struct<{CONTEXT}>>")
-    def contexts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-            yield pd.Series(contexts_of(raw, length), dtype=object)
-
-    return contexts(text)
+    for number, text in enumerate(texts):
+        for offset in range(0, len(text) - length + 1, PIECE):
+            part = text[offset : offset + PIECE + length - 1]
+            if held + len(part) > PIECE + length and group:
+                yield _contexts(group, length, powers)
+                group, held = [], 0
+            group.append((number, offset, part))
+            held += len(part)
+    if group:
+        yield _contexts(group, length, powers)
+
+
+def _contexts(group: list[tuple[int, int, bytes]], length: int, powers: tuple[np.ndarray, np.ndarray]):
+    raw = np.frombuffer(b"".join([part for _, _, part in group]), dtype=np.uint8)
+    sizes = np.array([len(part) for _, _, part in group])
+    begins = np.cumsum(sizes) - sizes
+    h = _gram_hashes(raw)
+    packed = (h >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | np.arange(len(h), dtype=np.uint64)
+    least = _sliding_min(packed, length - GRAM + 1)
+    anchor = (least & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    # Starts whose string stays in its text.
+    inside = np.zeros(len(raw) + 1, dtype=np.int32)
+    inside[begins] += 1
+    np.add.at(inside, begins + sizes - length + 1, -1)
+    start = np.flatnonzero(np.cumsum(inside)[: len(anchor)] > 0)
+    anchor = anchor[start]
+    width = -(-(length - GRAM + 1) // BANDS)
+    band = (anchor - start) // width
+    new = np.ones(len(start), dtype=bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (band[1:] != band[:-1]) | (start[1:] != start[:-1] + 1)
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(start)))
+    start, anchor, band = start[first], anchor[first], band[first]
+    # All strings of a band reach from its last possible start to the end of its first one.
+    region = anchor - band * width
+    sums = np.concatenate(([np.uint64(0)], np.cumsum((raw + np.uint64(1)) * powers[0][: len(raw)], dtype=np.uint64)))
+    key = (sums[region + length - width + 1] - sums[region]) * powers[1][region]
+    key = (key ^ (key >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + band.astype(np.uint64)
+    own = np.searchsorted(begins, start, side="right") - 1
+    number = np.array([n for n, _, _ in group])[own]
+    offset = np.array([o for _, o, _ in group])[own]
+    return number, key.view(np.int64), start - begins[own] + offset, count + length - 1
+
+
+def find_contexts(texts: DataFrame, length: int) -> DataFrame:
+    """(text_key, key, start, size): hash, first start and reach of each text's contexts."""
+
+    def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keys = batch["text_key"].to_numpy()
+            raw = [t.encode("utf-8", "surrogatepass") for t in batch["text"]]
+            for number, key, start, size in contexts_of(raw, length):
+                yield pd.DataFrame({"text_key": keys[number], "key": key, "start": start, "size": size})
+
+    return texts.mapInPandas(contexts, "text_key binary, key long, start long, size int")
 
 
 def _sorted_shards(length: int):
@@ -171,6 +175,15 @@ def _sorted_shards(length: int):
     return work
 
 
+def _with_bodies(texts: DataFrame, places: DataFrame, columns: list[str]) -> DataFrame:
+    """``places`` with the bytes that they have in their texts, from one pass over the texts."""
+    wanted = places.groupBy("text_key").agg(F.collect_list(F.struct("start", "size", *columns)).alias("all"))
+    raw = F.col("text").cast("binary").alias("raw")
+    rows = texts.join(wanted, "text_key").select("text_key", raw, F.explode("all").alias("p"))
+    body = F.substring("raw", F.col("p.start").cast("int") + 1, F.col("p.size"))
+    return rows.select("text_key", "p.start", "p.size", *[f"p.{c}" for c in columns], body.alias("body"))
+
+
 def repeated_spans(texts: DataFrame, length: int = 400) -> DataFrame:
     """(text_key, spans): byte spans of each distinct text that are covered by repeated strings.
 
@@ -178,28 +191,26 @@ def repeated_spans(texts: DataFrame, length: int = 400) -> DataFrame:
     not touch. Texts without a repeat have no row.
     """
     spark = texts.sparkSession
-    found = written(texts.select("text_key", F.inline(find_contexts(F.col("text"), length))), "contexts")
+    found = written(find_contexts(texts, length), "contexts")
     shared = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    wanted = found.join(shared, "key").groupBy("text_key").agg(F.collect_list(F.struct("key", "start", "size")).alias("contexts"))
-    raw = F.col("text").cast("binary")
-    bodies = texts.join(wanted, "text_key").select("text_key", raw.alias("raw"), F.explode("contexts").alias("c"))
-    body = F.substring("raw", F.col("c.start").cast("int") + 1, F.col("c.size"))
-    places = bodies.select("text_key", "c.key", "c.start", body.alias("body"))
-    places = places.withColumn("context", F.unhex(F.md5("body")))
-    places = written(places, "places")
-    distinct = places.groupBy("context").agg(
-        F.count("*").alias("copies"), F.first("key").alias("key"), F.first("body").alias("body")
-    )
-    volume = places.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    places = _with_bodies(texts, found.join(shared, "key"), ["key"])
+    places = written(places.withColumn("context", F.unhex(F.md5("body"))).drop("body"), "places")
+    # Of equal contexts one is sorted, and stands for all.
+    one = F.struct("text_key", "start", "size", "key")
+    distinct = places.groupBy("context").agg(F.count("*").alias("copies"), F.min(one).alias("one"))
+    distinct = written(distinct.select("context", "copies", "one.*"), "distinct")
+    volume = distinct.agg(F.sum("size")).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(volume) // SHARD_BYTES))
-    dealt = distinct.select("context", "copies", "body", "key").repartition(shards, "key")
+    dealt = _with_bodies(texts, distinct, ["context", "copies", "key"]).repartition(shards, "key")
     runs = dealt.select("context", "copies", "body").mapInPandas(
         _sorted_shards(length), "context binary, from long, to long"
     )
     runs = written(runs, "runs")
     spans = places.select("text_key", "start", "context").join(runs, "context")
-    spans = spans.select("text_key", F.struct((F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end")).alias("s"))
-    spans = spans.groupBy("text_key").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    begin, end = F.col("start") + F.col("from"), F.col("start") + F.col("to")
+    spans = spans.groupBy("text_key").agg(
+        F.array_sort(F.collect_list(F.struct(begin.alias("start"), end.alias("end")))).alias("s")
+    )
     # Later spans end later. Those that overlap or touch become one.
     s = F.col("s")
     begins = F.filter(s, lambda x, i: F.coalesce(x["start"] > F.get(s, i - 1)["end"], F.lit(True)))
