@@ -174,38 +174,30 @@ def find_contamination(
     result = None
     for block in _blocks(benchmark, item, item_text, block_words):
         shared = context.broadcast(WindowIndex(block, size))
+        result = _scanned(shared)(text_of(text)) if result is None else _added(shared)(text_of(text), result)
+    return _scanned(context.broadcast(WindowIndex([], size)))(text_of(text)) if result is None else result
 
-        def scan(batches, shared=shared):
-            for batch in batches:
-                first = not isinstance(batch, tuple)
-                texts = batch if first else batch[0]
-                before = None if first else batch[1].to_dict("records")
-                found = scan_texts(shared.value, list(texts), before)
-                yield pd.DataFrame(found, columns=["n_words", "n_hit", "items", "hits", "spans"])
 
-        if result is None:
+COLUMNS = ["n_words", "n_hit", "items", "hits", "spans"]
 
-            def one(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-                yield from scan(batches)
 
-            result = F.pandas_udf(one, RESULT)(text_of(text))
-        else:
+def _scanned(shared):
+    @F.pandas_udf(RESULT)
+    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame(scan_texts(shared.value, list(texts), None), columns=COLUMNS)
 
-            def more(batches: Iterator[tuple[pd.Series, pd.DataFrame]], scan=scan) -> Iterator[pd.DataFrame]:
-                yield from scan(batches)
+    return scan
 
-            result = F.pandas_udf(more, RESULT)(text_of(text), result)
-    if result is None:
-        empty = WindowIndex([], size)
 
-        def none(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            for texts in batches:
-                yield pd.DataFrame(
-                    scan_texts(empty, list(texts), None), columns=["n_words", "n_hit", "items", "hits", "spans"]
-                )
+def _added(shared):
+    @F.pandas_udf(RESULT)
+    def scan(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
+        for texts, before in batches:
+            found = scan_texts(shared.value, list(texts), before.to_dict("records"))
+            yield pd.DataFrame(found, columns=COLUMNS)
 
-        result = F.pandas_udf(none, RESULT)(text_of(text))
-    return result
+    return scan
 
 
 def decontaminate(

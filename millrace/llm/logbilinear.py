@@ -26,7 +26,7 @@ OWN, CLASSES = 448, 64
 SYMBOLS = OWN + CLASSES
 WIDTH = 16
 HEAD_WORDS = 100_000  # broadcast; the words beyond it are joined
-NOISE, BATCH, RATE = 32, 8192, 0.05
+NOISE, BATCH, RATE = 32, 1024, 0.15
 COUNTED_AT_ONCE = 500_000
 LN10 = float(np.log(10))
 
@@ -80,7 +80,7 @@ class Vocabulary:
 
     def within(self, c: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """log10 of a word's share of its symbol: 1 for words with a symbol of their own."""
-        k = np.maximum(symbol - OWN, 0)
+        k = np.maximum(symbol.astype(np.int64) - OWN, 0)
         share = (c + 0.5) / (self.class_total[k] + 0.5 * (self.class_distinct[k] + 1))
         return np.where(symbol < OWN, 0.0, np.log10(share))
 
@@ -91,7 +91,7 @@ class Vocabulary:
         symbol = self.symbol[at] if len(self.symbol) else np.zeros(len(at), dtype=np.int64)
         for k in np.flatnonzero(at < 0).tolist():
             symbol[k] = class_of(words[k])
-        return at, symbol
+        return at, symbol.astype(np.uint16)
 
     def unigram(self) -> np.ndarray:
         """Smoothed shares of the symbols in the training texts."""
@@ -261,10 +261,10 @@ def train(texts: DataFrame, vocab, rounds: int = 1, merged: int = 32) -> LogBili
             for batch in batches:
                 for group in _groups(batch["text"]):
                     _, _, _, symbol, one, two = _token_arrays(vocab.value, group)
-                    order = trainer.random.permutation(len(symbol))
-                    for k in range(0, len(order), BATCH):
-                        own = order[k : k + BATCH]
-                        trainer.step(one[own], two[own], symbol[own])
+                    # A batch takes every n-th token, and so some of every text of the group.
+                    n = -(-len(symbol) // BATCH)
+                    for k in trainer.random.permutation(n).tolist():
+                        trainer.step(one[k::n], two[k::n], symbol[k::n])
                     seen += len(symbol)
             if seen:
                 flat = trainer.model.flat.astype(np.float64) * seen

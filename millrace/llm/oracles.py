@@ -2,4 +2,109 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from millrace.llm.quality import RULES, STOP_WORDS
+
+BLANK = r"[\x20\x09-\x0D]+"
+
+
+def _quality() -> str:
+    stop = ", ".join(f"'{w}'" for w in STOP_WORDS)
+    failed = []
+    for rule in RULES:
+        bounds = []
+        if rule.least is not None:
+            bounds.append(f"{rule.metric} < {rule.least}")
+        if rule.most is not None:
+            bounds.append(f"{rule.metric} > {rule.most}")
+        failed.append(f"CASE WHEN {' OR '.join(bounds)} THEN '{rule.name}' END")
+    return rf"""
+WITH base AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '{BLANK}'), lambda x: x <> '') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, words[i:i + 7] AS w
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM base)
+), twice AS (
+  SELECT doc_id, unnest(list(i)) AS i FROM windows GROUP BY doc_id, w HAVING count(*) > 1
+), repeated AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(8) r(k) GROUP BY doc_id
+), counted AS (
+  SELECT b.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, len(lines) AS n_lines,
+    len(regexp_extract_all(text, '[A-Z]')) AS n_upper, len(list_filter(words, lambda x: x IN ({stop}))) AS n_stop
+  FROM base b LEFT JOIN repeated r USING (doc_id)
+), rated AS (
+  SELECT *, n_repeat_words / nullif(n_words, 0) AS repeat_word_ratio, word_chars / nullif(n_words, 0) AS mean_word_chars,
+    n_symbols / nullif(n_words, 0) AS symbol_ratio, n_upper / nullif(word_chars, 0) AS upper_ratio,
+    n_stop / nullif(n_words, 0) AS stop_word_ratio, n_dup_lines / nullif(n_lines, 0) AS dup_line_ratio
+  FROM counted
+), judged AS (
+  SELECT *, concat_ws(';', {", ".join(failed)}) AS failed_rules,
+    n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed
+  FROM rated
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT base_failed AND failed_rules = '' AS kept, failed_rules
+FROM judged"""
+
+
+CHAT = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, t.turn, t.role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) t(turn, role)
+), sized AS (
+  SELECT *, 4 + length(role) + 2 + length(text) + len(regexp_extract_all(text, '[\\#<]')) + 8 AS chars FROM rows
+), whole AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '') AS learned,
+    sum(chars) AS formatted_chars
+  FROM sized GROUP BY conv_id
+)
+SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(turns) AS turns_sha256, length(learned)::BIGINT AS loss_chars,
+  sha256(learned) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars
+FROM whole"""
+
+
+DECONTAMINATION = r"""
+WITH doc_words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM documents
+), item_words AS (
+  SELECT item_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, words[i:i + 9] AS w
+  FROM (SELECT item_id, words, unnest(range(1, greatest(1, len(words) - 9) + 1)) AS i FROM item_words WHERE len(words) > 0)
+), sizes AS (
+  SELECT DISTINCT len(w) AS n FROM windows
+), places AS (
+  SELECT doc_id, i, words[i:i + n - 1] AS w
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM doc_words, sizes)
+), hits AS (
+  SELECT doc_id, i, len(p.w) AS n, item_id FROM places p JOIN windows b ON p.w = b.w
+), covered AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": _quality(),
+    "op4_chat_format": CHAT,
+    "op10_decontaminate": DECONTAMINATION,
+}

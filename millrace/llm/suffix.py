@@ -193,6 +193,8 @@ def repeated_spans(texts: DataFrame, length: int = 400) -> DataFrame:
     spark = texts.sparkSession
     found = written(find_contexts(texts, length), "contexts")
     shared = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # Stored, so that the join is between two plain shuffles, and hot regions can be split.
+    shared = written(shared, "shared")
     places = _with_bodies(texts, found.join(shared, "key"), ["key"])
     places = written(places.withColumn("context", F.unhex(F.md5("body"))).drop("body"), "places")
     # Of equal contexts one is sorted, and stands for all.
@@ -239,7 +241,7 @@ def mark_repeats(docs: DataFrame, text: str = "text", length: int = 400) -> Data
     marks = copies.join(spans, "text_key", "left").select(
         F.col("text_key").alias(key), F.when(F.col("copies") > 1, whole).otherwise(F.col("spans")).alias("spans")
     )
-    marks = marks.where("spans IS NOT NULL")
+    marks = written(marks.where("spans IS NOT NULL"), "marks")
     (name,) = fresh(docs, "repeats")
     none = F.array().cast("array<struct<start: long, end: long>>")
     joined = docs.withColumn(key, text_key(text_of(text))).join(marks, key, "left")

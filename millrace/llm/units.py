@@ -64,7 +64,8 @@ def repeated_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     units = written(hashed_units(docs, doc_id, text, least_words).distinct(), "units")
     place = F.struct("doc_id", "text_hash", "start")
     first = units.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-    repeated = first.where("n > 1").select("digest", "first")
+    # Stored, so that the join is between two plain shuffles, and hot digests can be split.
+    repeated = written(first.where("n > 1").select("digest", "first"), "repeated")
     return units.join(repeated, "digest").where(place != F.col("first")).drop("first")
 
 
