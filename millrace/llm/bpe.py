@@ -23,7 +23,7 @@ from millrace.llm.common import fresh, text_of
 FIRST_BYTE_CHAR = 0x100
 BYTE_CHARS = {b: FIRST_BYTE_CHAR + b for b in range(256)}
 # Distinct pre-tokens that a worker remembers; beyond it, the memory is emptied and fills anew.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 TOGETHER = 1_000_000
 
 
