@@ -27,6 +27,8 @@ from millrace.streaming import feed, silver
 NOT_IN_SEED = ("id", "created_date", "last_modified_date")
 # Columns that a landed change carries to order changes of equal time.
 FEED_SEQUENCE = "offset"
+# Landed bytes that one micro-batch of a refresh takes at most.
+BATCH_BYTES = 4 << 30
 
 
 class Lakehouse:
@@ -94,7 +96,8 @@ class Lakehouse:
         if entity.mode == "full":
             self.warehouse.load_snapshot(name, readers.read_parquet(self.spark, bronze))
             return
-        stream = feed.file_feed(self.spark, bronze)
+        # Bounds a batch, and so what is cached of it, however long the backlog is.
+        stream = feed.file_feed(self.spark, bronze, max_bytes=BATCH_BYTES)
         table = self.warehouse.table(SILVER, name).path
         checkpoint = self.path("checkpoints", "silver", name)
         if entity.mode == "cdc":
@@ -106,6 +109,7 @@ class Lakehouse:
                 record_ddl or entity.record_ddl,
                 name,
                 FEED_SEQUENCE,
+                rejects=self.path("rejects", "silver", name),
                 buckets=self.warehouse.buckets,
             )
         else:
@@ -118,7 +122,7 @@ class Lakehouse:
                 name,
                 buckets=self.warehouse.buckets,
             )
-        feed.finish(query, timeout=24 * 3600)
+        feed.finish(query)
         if source_keys is not None and entity.mode == "incremental":
             self.warehouse.sweep(name, source_keys)
 

@@ -1,8 +1,9 @@
 """Keyed merge of a source into a target, expressed as joins.
 
 The result holds every row of the merged table plus ``_action``: ``insert``,
-``update``, ``soft_delete`` or ``keep``. Keys are compared null-safe. As in any
-merge, the source must hold at most one row per key (see ``operators.dedup``).
+``update``, ``soft_delete`` or ``keep``. Keys are compared null-safe. The source
+must hold at most one row per key (see ``operators.dedup``); the merge fails while
+it runs when it doesn't.
 
 Two plans give the same rows:
 
@@ -48,7 +49,7 @@ def merge_into(
     if plan == "auto":
         plan = "lookup" if fits_broadcast(source) and not fits_broadcast(target) else "outer"
     held = target.select(*_prefixed(target, "t"), F.lit(True).alias("_in_t"))
-    given = source.select(*_prefixed(source, "s"), F.lit(True).alias("_in_s"))
+    given = source.select(*_prefixed(source, "s"), _checked_unique(source, keys).alias("_in_s"))
     same_key = reduce(
         Column.__and__, [F.col(f"_t_{k}").eqNullSafe(F.col(f"_s_{k}")) for k in keys]
     )
@@ -70,6 +71,17 @@ def merge_into(
     return kept_or_updated.unionByName(inserted)
 
 
+def _checked_unique(source: DataFrame, keys: Sequence[str]) -> Column:
+    """True; an error where the source repeats a key.
+
+    The check is a subquery over the key columns alone, combined before its shuffle, of which
+    one row comes back; it is part of the merge's plan and runs with it.
+    """
+    repeated = source.groupBy(*keys).count().where("count > 1").agg(F.count(F.lit(1)).alias("n"))
+    message = F.lit(f"merge: the source has several rows for one key {tuple(keys)}")
+    return F.when(repeated.scalar() > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], **options) -> DataFrame:
     """Update matched rows, insert the others; no action column."""
     return merge_into(target, source, keys, **options).drop(ACTION)

@@ -74,6 +74,10 @@ def scd2_apply(
 ) -> DataFrame:
     """Close changed versions at ``now`` and open new ones; keys absent from the batch stay.
 
+    A version that was opened at this very ``now`` is replaced, not closed: a load that is
+    repeated with its clock leaves no empty interval, and no surrogate twice. The load fails
+    when a changed key has a version from after ``now``.
+
     Closed versions bypass the join. Current versions and the batch both hold
     one row per key, so one full outer join has no hot key; a changed pair
     leaves it as two rows.
@@ -102,8 +106,12 @@ def scd2_apply(
     opening = _version([F.col(c) for c in batch.columns], business_key, surrogate, now)
     opened = F.struct(*opening)
     ordered = F.struct(*[opened[c].alias(c) for c in names])
+    since = F.col("_d_effective_date")
+    late = F.raise_error(F.concat(F.lit("version from after the load's clock: "), F.col(f"_d_{surrogate}")))
     rows = (
-        F.when(changed, F.array(held(closed=True), ordered))
+        F.when(changed & (since > _at(now)), F.array(F.when(late.isNull(), ordered)))
+        .when(changed & (since == _at(now)), F.array(ordered))
+        .when(changed, F.array(held(closed=True), ordered))
         .when(is_new, F.array(ordered))
         .otherwise(F.array(held(closed=False)))
     )

@@ -6,30 +6,53 @@ are attached, so the wide, long side is shuffled as few times as possible.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import date_key, hash_key
 from millrace.operators.merge import merge_into
 from millrace.operators.scd import asof_join
 
-# Natural keys by which a re-run merges each fact.
+# Natural keys by which a re-run merges each fact. A line of sales is known by what exists before
+# any dimension is looked up: its surrogate keys are NULL, or change, when a dimension comes late.
 FACT_KEYS = {
-    "fact_sales": ("order_id", "product_key", "seller_key"),
+    "fact_sales": ("order_id", "product_id", "seller_id"),
     "fact_payments": ("order_id",),
     "fact_reviews": ("Review_id", "Order_id"),
     "fact_shipment": ("shipment_key",),
 }
 
 
+# The columns of fact_sales. The stored fact has the line's product_id and seller_id as well.
+SALES_COLUMNS = (
+    "order_id",
+    "customer_key",
+    "product_key",
+    "seller_key",
+    "purchase_time_key",
+    "delivery_time_key",
+    "status_key",
+    "sale_price",
+    "quantity",
+    "total_value",
+    "is_canceled",
+    "delivery_delay_days",
+    "freight_value",
+)
+
+
+def _item_number() -> Column:
+    """The item number as a number, last where it is none; change feeds deliver it as text."""
+    return F.coalesce(F.col("order_item_id").try_cast("int"), F.lit(2**31 - 1))
+
+
 def order_lines(items: DataFrame) -> DataFrame:
     """One row per order, product and seller; the price is that of the lowest item number.
 
     Items of one number are ranked by price. The rank is a single decimal, not a
     struct, which keeps the aggregation hash-based.
     """
-    number = F.coalesce(F.col("order_item_id").try_cast("int"), F.lit(2**31 - 1))
-    rank = number.cast("decimal(10,0)") * F.lit(10**12).cast("decimal(13,0)") + F.col("price")
+    rank = _item_number().cast("decimal(10,0)") * F.lit(10**12).cast("decimal(13,0)") + F.col("price")
     return items.groupBy("order_id", "product_id", "seller_id").agg(
         F.count("order_item_id").alias("quantity"),
         F.min_by("price", rank).alias("sale_price"),
@@ -49,13 +72,13 @@ def order_payments(payments: DataFrame) -> DataFrame:
 
 def first_products(items: DataFrame) -> DataFrame:
     """The product of each order's lowest item number."""
-    order = F.struct("order_item_id", "product_id")
+    order = F.struct(_item_number().alias("number"), "product_id")
     return items.groupBy("order_id").agg(F.min_by("product_id", order).alias("product_id"))
 
 
 def first_items(items: DataFrame) -> DataFrame:
     """Seller and shipping limit of each order's lowest item number."""
-    order = F.struct("order_item_id", "seller_id", "shipping_limit_date")
+    order = F.struct(_item_number().alias("number"), "seller_id", "shipping_limit_date")
     return (
         items.groupBy("order_id")
         .agg(F.min(order).alias("item"))
@@ -63,13 +86,14 @@ def first_items(items: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales(
+def sales_lines(
     orders: DataFrame,
     items: DataFrame,
     dim_customer: DataFrame,
     dim_seller: DataFrame,
     dim_product: DataFrame,
 ) -> DataFrame:
+    """fact_sales with the line's product_id and seller_id, as it is stored and merged."""
     purchased = "order_purchase_timestamp"
     delivered = "order_delivered_customer_date"
     of_order = asof_join(
@@ -87,21 +111,18 @@ def fact_sales(
     lines = order_lines(items).join(of_order, "order_id")
     lines = asof_join(lines, dim_seller, {"seller_id": "seller_id"}, purchased, ["seller_key"])
     lines = asof_join(lines, dim_product, {"product_id": "product_id"}, purchased, ["product_key"])
-    return lines.select(
-        "order_id",
-        "customer_key",
-        "product_key",
-        "seller_key",
-        "purchase_time_key",
-        "delivery_time_key",
-        "status_key",
-        "sale_price",
-        "quantity",
-        (F.col("sale_price") * F.col("quantity")).alias("total_value"),
-        "is_canceled",
-        "delivery_delay_days",
-        "freight_value",
-    )
+    lines = lines.withColumn("total_value", F.col("sale_price") * F.col("quantity"))
+    return lines.select(*SALES_COLUMNS, "product_id", "seller_id")
+
+
+def fact_sales(
+    orders: DataFrame,
+    items: DataFrame,
+    dim_customer: DataFrame,
+    dim_seller: DataFrame,
+    dim_product: DataFrame,
+) -> DataFrame:
+    return sales_lines(orders, items, dim_customer, dim_seller, dim_product).select(*SALES_COLUMNS)
 
 
 def fact_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
@@ -170,5 +191,5 @@ def fact_shipment(
 
 
 def merge_fact(name: str, held: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Merge a recomputed fact by its natural key; unmatched dimension keys (NULL) match too."""
+    """Merge a recomputed fact (sales: its lines) by its natural key."""
     return merge_into(held, fresh, FACT_KEYS[name])

@@ -33,6 +33,17 @@ REPLACED = {
     "dim_status": ("orders", dims.dim_status),
     "dim_payment_type": ("order_payments", dims.dim_payment_type),
 }
+# Dates that facts refer to.
+CALENDAR_DATES = {
+    "orders": (
+        "order_purchase_timestamp",
+        "order_delivered_carrier_date",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    ),
+    "order_items": ("shipping_limit_date",),
+    "order_reviews": ("review_creation_date",),
+}
 FACTS = ("fact_sales", "fact_reviews", "fact_payments", "fact_shipment")
 
 SILVER, GOLD, MART = "silver", "dw_db", "mart_db"
@@ -63,7 +74,8 @@ class Warehouse:
 
     def read(self, name: str) -> DataFrame:
         """A stored dimension or fact."""
-        return self.table(GOLD, name).read()
+        rows = self.table(GOLD, name).read()
+        return rows.select(*facts.SALES_COLUMNS) if name == "fact_sales" else rows
 
     def entity(self, name: str) -> DataFrame:
         """A stored cleaned entity."""
@@ -117,9 +129,16 @@ class Warehouse:
         table.write(rows)
         table.vacuum()
 
+    def _calendar(self) -> DataFrame:
+        dates = None
+        for name, columns in CALENDAR_DATES.items():
+            rows = self.entity(name).select(F.explode(F.array(*columns)).alias("day"))
+            dates = rows if dates is None else dates.union(rows)
+        return dims.dim_time_covering(dates, "day")
+
     def load_dimensions(self, now: str, calendar: DataFrame | None = None) -> None:
-        """All dimensions from the stored entities."""
-        self.replace("dim_time", dims.dim_time(self.spark) if calendar is None else calendar)
+        """All dimensions from the stored entities. The calendar holds every date of the orders."""
+        self.replace("dim_time", self._calendar() if calendar is None else calendar)
         for name, (source, build) in REPLACED.items():
             self.replace(name, build(self.entity(source)))
         for name, (_, source, rows_of) in VERSIONED.items():
@@ -133,6 +152,8 @@ class Warehouse:
         customer, seller, product = (self.read(n) for n in VERSIONED)
         if name == "fact_sales":
             return facts.fact_sales(e["orders"], e["order_items"], customer, seller, product)
+        if name == "sales_lines":
+            return facts.sales_lines(e["orders"], e["order_items"], customer, seller, product)
         if name == "fact_payments":
             return facts.fact_payments(e["orders"], e["order_payments"])
         if name == "fact_reviews":
@@ -147,9 +168,8 @@ class Warehouse:
         self, name: str, entities: Mapping[str, DataFrame] | None = None
     ) -> dict[str, int]:
         """Create the fact, or merge its rows by natural key."""
-        return apply_rows(
-            self.table(GOLD, name), self.fact(name, entities), facts.FACT_KEYS[name]
-        )
+        rows = self.fact("sales_lines" if name == "fact_sales" else name, entities)
+        return apply_rows(self.table(GOLD, name), rows, facts.FACT_KEYS[name])
 
     # --- marts ---
 

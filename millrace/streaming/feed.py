@@ -31,12 +31,21 @@ def kafka_feed(spark: SparkSession, servers: str, topic: str, **options: str) ->
 
 
 def file_feed(
-    spark: SparkSession, path: str, schema: str | None = None, max_files: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str | None = None,
+    max_files: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Folder of Parquet files as a stream; without a schema it is taken from the files present."""
+    """Folder of Parquet files as a stream; without a schema it is taken from the files present.
+
+    max_files, max_bytes: how much a batch takes at most, besides its first file.
+    """
     reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(path)
 
 
@@ -120,17 +129,23 @@ def _append(changes: DataFrame, path: str, checkpoint: str, trigger) -> Streamin
 def land_topics(
     feeds: Mapping[str, DataFrame], root: str, **options
 ) -> dict[str, StreamingQuery]:
-    """One query per feed, all in this session. Wait with ``finish`` or ``awaitAnyTermination``."""
-    return {
-        name: land(feed, f"{root}/bronze/{name}", f"{root}/checkpoints/bronze/{name}", **options)
-        for name, feed in feeds.items()
-    }
-
-
-def finish(*queries: StreamingQuery, timeout: int = 3600) -> None:
-    """Wait for draining queries; raise when one failed or did not end in time (seconds)."""
+    """Two queries per feed, all in this session: the usable changes under the feed's name, and
+    what they leave out under "rejects/name". Wait with ``finish`` or ``awaitAnyTermination``."""
+    queries = {}
+    for name, stream in feeds.items():
+        queries[name] = land(stream, f"{root}/bronze/{name}", f"{root}/checkpoints/bronze/{name}", **options)
+        queries[f"rejects/{name}"] = land_rejected(
+            stream, f"{root}/rejects/{name}", f"{root}/checkpoints/rejects/{name}", **options
+        )
+    return queries
+
+
+def finish(*queries: StreamingQuery, timeout: int | None = None) -> None:
+    """Wait for draining queries; raise when one failed, or did not end within ``timeout`` seconds."""
     for query in queries:
-        if not query.awaitTermination(timeout):
+        if timeout is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout):
             query.stop()
             raise TimeoutError(f"stream {query.id} did not end within {timeout} s")
         if query.exception() is not None:

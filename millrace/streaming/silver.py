@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,7 +34,7 @@ def change_rows(
     """Latest state per key from landed changes; a delete becomes an inactive row.
 
     Keys are cleaned before they are compared. ``sequence`` breaks ties of
-    ``ts_ms`` (an offset in the feed).
+    ``ts_ms`` (an offset in the feed). Changes without a key (``unreadable_changes``) are left out.
     """
     order = {CHANGE_TIME: F.col("ts_ms")}
     if sequence:
@@ -43,10 +44,21 @@ def change_rows(
         (F.col("op") != "d").alias("is_active"),
         *[column.alias(name) for name, column in order.items()],
     ).select("record.*", "is_active", *order)
+    parsed = parsed.where(~_any_null([F.col(k) for k in keys]))
     cleaned = clean(parsed, entity or "")
     return latest_per_key(cleaned, keys, list(order))
 
 
+def unreadable_changes(changes: DataFrame, record_ddl: str, keys: Sequence[str]) -> DataFrame:
+    """Changes whose record can't be parsed or has no key: they can't be applied to any row."""
+    record = F.from_json("raw_record", record_ddl)
+    return changes.where(_any_null([record[k] for k in keys]))
+
+
+def _any_null(columns: Sequence[Column]) -> Column:
+    return reduce(Column.__or__, [c.isNull() for c in columns])
+
+
 def snapshot_rows(
     rows: DataFrame, keys: Sequence[str], latest_by: str, entity: str | None = None
 ) -> DataFrame:
@@ -98,9 +110,13 @@ def merge_stream(
     newer_by: Sequence[str] | None = None,
     trigger: Mapping[str, object] = DRAIN,
     buckets: int | None = None,
+    set_aside: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Merge each micro-batch into the table, exactly once.
 
+    set_aside: is given each batch and its number before the merge, to store what
+    can't be merged; it may see a batch again when that is replayed.
+
     buckets: keep the table in so many buckets and rewrite only those that hold
     keys of the batch.
 
@@ -117,8 +133,10 @@ def merge_stream(
         tag = f"{query_id}-{batch_id}"
         if table.has_tag(tag):
             return
-        # Small next to the table; cached because the merge may read it more than
-        # once and to let Spark plan with its real size.
+        if set_aside:
+            set_aside(batch, batch_id)
+        # As large as the stream's batch limit allows; cached, on disk where memory is short,
+        # because the merge reads it more than once and to let Spark plan with its real size.
         rows = to_rows(batch).persist()
         try:
             if rows.count() == 0:
@@ -144,9 +162,16 @@ def merge_change_stream(
     record_ddl: str,
     entity: str | None = None,
     sequence: str | None = None,
+    rejects: str | None = None,
     **options,
 ) -> StreamingQuery:
-    """Apply a landed change feed."""
+    """Apply a landed change feed. Changes without a readable key go to ``rejects``, a folder per
+    batch, which a replay of the batch writes anew."""
+
+    def set_aside(batch: DataFrame, batch_id: int) -> None:
+        lost = unreadable_changes(batch, record_ddl, keys)
+        lost.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+
     newer_by = [CHANGE_TIME, *([CHANGE_SEQUENCE] if sequence else [])]
     return merge_stream(
         landed,
@@ -155,6 +180,7 @@ def merge_change_stream(
         keys,
         lambda batch: change_rows(batch, record_ddl, keys, entity, sequence),
         newer_by,
+        set_aside=set_aside if rejects else None,
         **options,
     )
 

@@ -16,7 +16,7 @@ from millrace.ml import evaluation, model, scoring
 from millrace.operators import dedup, merge, scd
 from millrace.plans import dimensions as dims
 from millrace.plans import facts, features, marts
-from millrace.session import shared_dir
+from millrace.session import plan_bytes, shared_dir
 from millrace.sources import landing, readers
 from millrace.sources.entities import CHANGE_RECORD_DDL
 from millrace.sources.tables import SnapshotTable
@@ -348,8 +348,8 @@ def fact_merge_incremental(s: Source) -> DataFrame:
     items = s.clean("order_items")
     early = items.where(limit < F.lit("1999-01-01").cast("timestamp_ntz"))
     late = items.where(limit >= F.lit("1998-01-01").cast("timestamp_ntz"))
-    held, fresh = (s.fact("fact_sales", order_items=lines) for lines in (early, late))
-    return facts.merge_fact("fact_sales", held, fresh)
+    held, fresh = (s.fact("sales_lines", order_items=lines) for lines in (early, late))
+    return facts.merge_fact("fact_sales", held, fresh).drop("product_id", "seller_id")
 
 
 # --- joins ---
@@ -819,15 +819,17 @@ def cdc_bronze_partitions(s: Source) -> DataFrame:
     )
 
 
-def _as_files(s: Source, rows: DataFrame, name: str, files: int = 16) -> str:
-    """Write a feed as several files, so that a stream over it has several batches."""
+def _as_files(s: Source, rows: DataFrame, name: str) -> str:
+    """Write a feed as files, as many as the session's width, which follows the input's size."""
     path = shared_dir(s.spark, name)
-    rows.repartition(files).write.parquet(path)
+    rows.repartition(int(s.spark.conf.get("spark.sql.shuffle.partitions"))).write.parquet(path)
     return path
 
 
 def _file_feed(s: Source, path: str) -> DataFrame:
-    return feed.file_feed(s.spark, path, max_files=8)
+    """A stream over the files in about three batches, whatever their size."""
+    third = max(1, plan_bytes(s.spark.read.parquet(path)) // 3)
+    return feed.file_feed(s.spark, path, max_bytes=third)
 
 
 def _clock():

@@ -3,6 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from millrace.operators import merge
+from millrace.operators.merge import merge_into
 
 DDL = "k int, v string, is_active boolean"
 
@@ -132,3 +133,20 @@ def test_small_source_does_not_shuffle_the_target(spark, plan_of, tmp_path):
 def test_large_source_is_one_outer_join(spark, plan_of):
     df = spark.range(10_000_000).selectExpr("id AS k", "id AS v")
     assert plan_of(merge.merge_into(df, df, ["k"])).count("FullOuter") == 1
+
+
+@pytest.mark.parametrize("plan", ["outer", "lookup"])
+def test_repeated_source_key_fails(spark, plan):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    source = spark.createDataFrame([(1, "b"), (2, "c"), (1, "d")], "k int, v string")
+    with pytest.raises(Exception, match="several rows for one key"):
+        merge_into(target, source, ["k"], plan=plan).collect()
+    assert merge_into(target, source.where("v <> 'd'"), ["k"], plan=plan).count() == 2
+
+
+def test_both_plans_agree(spark, rows):
+    target = spark.createDataFrame([(1, "a", True), (None, "n", True), (3, "c", True)], "k int, v string, is_active boolean")
+    source = spark.createDataFrame([(1, "b", 9), (None, "m", 8), (4, "d", 7)], "k int, v string, extra int")
+    options = {"absent": {"is_active": False}}
+    outer, lookup = (merge_into(target, source, ["k"], plan=p, **options) for p in ("outer", "lookup"))
+    assert outer.columns == lookup.columns and rows(outer) == rows(lookup)

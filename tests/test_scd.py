@@ -3,7 +3,10 @@ from datetime import datetime
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+import pytest
+
 from millrace.operators import scd
+from millrace.operators.scd import scd2_apply, scd2_initial
 
 KEY = ("id", "id_key", ["a"])
 DDL = "id string, a string, other int"
@@ -109,3 +112,17 @@ def test_asof_join_is_an_equi_join(spark, plan_of):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_repeated_clock_replaces_the_version(spark):
+    names = "k string, city string"
+    held = scd2_initial(spark.createDataFrame([("a", "x")], names), "k", "sk")
+    for city in ("y", "z"):
+        batch = spark.createDataFrame([("a", city)], names)
+        held = scd2_apply(held, batch, "k", "sk", ["city"], "2024-01-01 00:00:00")
+    got = held.orderBy("effective_date").collect()
+    assert [(r.city, r.is_current) for r in got] == [("x", 0), ("z", 1)]
+    assert len({r.sk for r in got}) == 2
+    older = scd2_apply(held, spark.createDataFrame([("a", "w")], names), "k", "sk", ["city"], "2023-01-01 00:00:00")
+    with pytest.raises(Exception, match="after the load's clock"):
+        older.collect()

@@ -159,11 +159,28 @@ def test_revenue_mart_totals(star):
     assert tuple(totals) == tuple(sales)
 
 
-def test_fact_merge_matches_null_dimension_keys(star, rows):
-    sales = star["fact_sales"]
-    again = facts.merge_fact("fact_sales", sales, sales.dropDuplicates(["order_id", "product_key", "seller_key"]))
-    assert again.where("_action = 'insert'").isEmpty()
-    assert not sales.where("product_key IS NULL").isEmpty()
+def test_fact_reload_with_null_dimension_keys(spark, star, rows, tmp_path):
+    """Lines whose product or seller no dimension has yet keep one row each over any reloads."""
+    lines = [("o1", "p1", "s1"), ("o1", "p2", "s2"), ("o1", "p3", "s2"), ("o1", None, "s2"), ("o2", "p1", None)]
+    held = spark.createDataFrame(lines, "order_id string, product_id string, seller_id string")
+    held = held.withColumn("product_key", F.lit(None).cast("string")).withColumn("seller_key", F.lit(None).cast("string"))
+    late = held.withColumn("product_key", F.when(F.col("product_id") == "p2", "k2"))
+    table = held
+    for fresh in (held, late, late):
+        table = facts.merge_fact("fact_sales", table, fresh)
+        assert table.where("_action = 'insert'").isEmpty()
+        table = spark.createDataFrame(table.drop("_action").collect(), held.schema)
+    assert rows(table) == rows(late)
+    assert not star["fact_sales"].where("product_key IS NULL").isEmpty()
+
+
+def test_first_item_is_by_number(spark, rows):
+    items = spark.createDataFrame(
+        [("o", "10", "a", "x", None), ("o", "2", "b", "y", None)],
+        "order_id string, order_item_id string, product_id string, seller_id string, shipping_limit_date timestamp_ntz",
+    )
+    assert rows(facts.first_products(items)) == [("o", "b")]
+    assert rows(facts.first_items(items), "seller_id") == [("y",)]
 
 
 def test_unknown_mart(star):
