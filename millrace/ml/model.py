@@ -62,9 +62,9 @@ def is_test_row(key: str = "order_id", test_size: float = TEST_SIZE, seed: int =
     sampling, but a row's part depends on nothing else: a retried task or
     another partitioning cannot move it, and one order is never in both parts.
     """
-    bar = f"{int((1.0 - test_size) * 16**8):08x}"
+    bar = int((1.0 - test_size) * 16**8)
     digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
-    return F.substring(digest, 1, 8) >= bar
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") >= bar
 
 
 def split(df: DataFrame, **options) -> tuple[DataFrame, DataFrame]:

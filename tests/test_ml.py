@@ -118,3 +118,8 @@ def test_train_save_and_score(spark, sales, training, tmp_path):
     alerts = scoring.score_new_orders(sales, training, fitted, None, "2018-02-01 00:00:00", 1.1)
     assert alerts.count() == 20 and alerts.dtypes == spark.createDataFrame([], scoring.ALERT_DDL).dtypes
     assert scoring.score_new_orders(sales, training, fitted, alerts, "2018-02-02 00:00:00").isEmpty()
+
+
+def test_split_sizes_at_the_edges(spark):
+    df = spark.range(1000).withColumnRenamed("id", "order_id")
+    assert [model.split(df, test_size=t)[1].count() for t in (0.0, 1.0)] == [0, 1000]
