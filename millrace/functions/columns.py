@@ -29,9 +29,10 @@ def date_key(ts: str | Column) -> Column:
     return F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)
 
 
-def key_date(key: str) -> Column:
+def key_date(key: str | Column) -> Column:
     """Date of an integer ``yyyyMMdd``; NULL for a number that is no date."""
-    return F.try_to_date(F.col(key).cast("string"), "yyyyMMdd")
+    column = F.col(key) if isinstance(key, str) else key
+    return F.try_to_date(column.cast("string"), "yyyyMMdd")
 
 
 def epoch_ms_to_ts(column: Column) -> Column:

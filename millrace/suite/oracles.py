@@ -653,6 +653,47 @@ LEFT JOIN d_category g ON p.category_key = g.category_key
 LEFT JOIN d_seller s ON f.seller_key = s.seller_key
 GROUP BY t.full_date, g.category_name_en, s.city_key
 """)
+oracle("customer_experience_mart_v2", """
+SELECT t.full_date AS date, g.category_name_en AS product_category, s.city_key AS seller_geo_key,
+  avg(r."Review_score") AS avg_review_score,
+  avg(CASE WHEN r."Review_score" >= 4 THEN 1 ELSE 0 END) AS good_review_rate,
+  avg(CASE WHEN r."Review_score" <= 2 THEN 1 ELSE 0 END) AS bad_review_rate,
+  avg(h.delivery_delay_days) AS avg_delivery_delay,
+  avg(CASE WHEN h.delivery_delay_days > 0 THEN 1 ELSE 0 END) AS late_delivery_rate,
+  CAST(sum(o.freight) AS DOUBLE) / nullif(count(o.freight), 0) AS avg_order_freight,
+  CAST(sum(o.price) AS DOUBLE) / nullif(count(o.price), 0) AS avg_order_price,
+  count(*) AS review_volume
+FROM f_reviews r LEFT JOIN f_shipment h ON r."Order_id" = h.order_id
+LEFT JOIN (SELECT order_id, sum(freight_value) AS freight, sum(sale_price) AS price FROM f_sales GROUP BY order_id) o
+  ON r."Order_id" = o.order_id
+LEFT JOIN d_time t ON r.time_key = t.time_key
+LEFT JOIN d_product p ON r.product_key = p.product_key
+LEFT JOIN d_category g ON p.category_key = g.category_key
+LEFT JOIN d_seller s ON h.seller_key = s.seller_key
+GROUP BY t.full_date, g.category_name_en, s.city_key
+""")
+view("shipment_rows", """
+SELECT h.*, s.city_key AS seller_geo_key, c.city_key AS customer_geo_key,
+  strptime(CAST(o.purchase_time_key AS VARCHAR), '%Y%m%d') AS bought,
+  strptime(CAST(h.delivered_customer_date AS VARCHAR), '%Y%m%d') AS delivered,
+  strptime(CAST(h.delivered_carrier_date AS VARCHAR), '%Y%m%d') AS handed_over
+FROM f_shipment h
+LEFT JOIN (SELECT order_id, min(purchase_time_key) AS purchase_time_key FROM f_sales GROUP BY order_id) o
+  ON h.order_id = o.order_id
+LEFT JOIN d_customer c ON h.customer_key = c.customer_key
+LEFT JOIN d_seller s ON h.seller_key = s.seller_key
+""")
+oracle("logistics_mart_v2", """
+SELECT seller_geo_key, customer_geo_key, CAST(bought AS DATE) AS date,
+  avg(date_diff('day', bought, delivered)) AS avg_delivery_time,
+  avg(date_diff('day', bought, handed_over)) AS avg_days_to_carrier,
+  avg(carrier_to_customer_days) AS avg_carrier_to_customer_days,
+  avg(delivery_delay_days) AS avg_delivery_delay,
+  avg(CASE WHEN delivery_delay_days > 0 THEN 1 ELSE 0 END) AS late_delivery_rate,
+  avg(CASE WHEN delivery_delay_days <= 0 THEN 1 ELSE 0 END) AS on_time_rate,
+  count(*) AS order_volume
+FROM shipment_rows GROUP BY seller_geo_key, customer_geo_key, CAST(bought AS DATE)
+""")
 view("logistics_rows", """
 SELECT s.city_key AS seller_geo_key, c.city_key AS customer_geo_key,
   CAST(strptime(CAST(f.purchase_time_key AS VARCHAR), '%Y%m%d') AS DATE) AS date,

@@ -698,6 +698,16 @@ def logistics_mart(s: Source) -> DataFrame:
     return marts.build_mart("logistics_mart", _stored(s, "fact_shipment", *_STAR))
 
 
+@query
+def customer_experience_mart_v2(s: Source) -> DataFrame:
+    return marts.build_mart("customer_experience_mart_v2", _stored(s, "fact_reviews", "fact_shipment", *_STAR))
+
+
+@query
+def logistics_mart_v2(s: Source) -> DataFrame:
+    return marts.build_mart("logistics_mart_v2", _stored(s, "fact_shipment", *_STAR))
+
+
 # --- features, training, scoring ---
 
 
