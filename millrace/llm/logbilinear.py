@@ -25,7 +25,8 @@ END = b""  # the token after a text's last word; no word is empty
 OWN, CLASSES = 448, 64
 SYMBOLS = OWN + CLASSES
 WIDTH = 16
-HEAD_WORDS = 100_000  # broadcast; the words beyond it are joined
+HEAD_WORDS = 100_000  # broadcast, at most so many; the words beyond it are joined
+STEPS = 32
 NOISE, BATCH, RATE = 32, 1024, 0.15
 COUNTED_AT_ONCE = 500_000
 LN10 = float(np.log(10))
@@ -108,11 +109,19 @@ def _class_column(word: Column) -> Column:
 
 
 def vocabulary(counts: DataFrame, head_words: int = HEAD_WORDS) -> Vocabulary:
-    """From the stored counts; the driver gets ``head_words`` rows and one per class."""
+    """From the stored counts. The driver gets ``head_words`` rows at most, one per class, and one
+    per step of the counts' scale, of which there are STEPS for each doubling."""
     totals = counts.agg(F.sum("c"), F.count("*")).first()
-    head = counts.orderBy(F.desc("c"), "word").limit(head_words).collect()
-    words, count = [bytes(r[0]) for r in head], np.array([r[1] for r in head], dtype=np.int64)
-    symbol = np.array([k if k < OWN else class_of(w) for k, w in enumerate(words)], dtype=np.int64)
+    step = F.floor(F.log2("c") * STEPS)
+    left, least = head_words, None
+    for value, n in sorted(counts.groupBy(step.alias("step")).agg(F.count("*")).collect(), reverse=True):
+        if n > left:
+            break
+        left, least = left - n, value
+    head = [] if least is None else counts.where(step >= least).collect()
+    head = sorted((-r["c"], bytes(r["word"])) for r in head)
+    words, count = [w for _, w in head], np.array([-c for c, _ in head], dtype=np.int64)
+    symbol = np.array([k if k < OWN else class_of(w) for k, w in enumerate(words)], dtype=np.int64).reshape(-1)
     class_total, class_distinct = np.zeros(CLASSES), np.zeros(CLASSES)
     for k, c, n in counts.groupBy(_class_column(F.col("word"))).agg(F.sum("c"), F.count("*")).collect():
         class_total[k], class_distinct[k] = c, n
