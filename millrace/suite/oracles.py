@@ -437,7 +437,8 @@ FROM items_clean GROUP BY order_id, product_id, seller_id
 """)
 
 
-def sales(lines: str) -> str:
+def sales(lines: str, known: str = "TRUE") -> str:
+    """known: condition on ``{key}`` for the sellers and products that have a dimension row."""
     return f"""
 SELECT o.order_id, c.customer_key, p.product_key, s.seller_key,
   CAST(strftime(o.order_purchase_timestamp, '%Y%m%d') AS INTEGER) AS purchase_time_key,
@@ -452,10 +453,10 @@ FROM {lines} i JOIN orders_clean o ON i.order_id = o.order_id
 LEFT JOIN d_customer c ON o.customer_id = c.customer_id
   AND o.order_purchase_timestamp >= c.effective_date
   AND (o.order_purchase_timestamp < c.expiry_date OR c.expiry_date IS NULL)
-LEFT JOIN d_seller s ON i.seller_id = s.seller_id
+LEFT JOIN d_seller s ON i.seller_id = s.seller_id AND {known.format(key="i.seller_id")}
   AND o.order_purchase_timestamp >= s.effective_date
   AND (o.order_purchase_timestamp < s.expiry_date OR s.expiry_date IS NULL)
-LEFT JOIN d_product p ON i.product_id = p.product_id
+LEFT JOIN d_product p ON i.product_id = p.product_id AND {known.format(key="i.product_id")}
   AND o.order_purchase_timestamp >= p.effective_date
   AND (o.order_purchase_timestamp < p.expiry_date OR p.expiry_date IS NULL)
 """
@@ -466,6 +467,8 @@ _SALES_AS_DOUBLE = """* REPLACE (CAST(sale_price AS DOUBLE) AS sale_price,
 
 view("f_sales", sales("order_lines"))
 oracle("fact_sales", f"SELECT {_SALES_AS_DOUBLE} FROM f_sales")
+view("reloaded_sales", sales("order_lines", "CAST({key} AS BIGINT) % 5 <> 0"))
+oracle("fact_reload", f"SELECT {_SALES_AS_DOUBLE} FROM reloaded_sales")
 
 for part, condition in (
     ("held", "shipping_limit_date < TIMESTAMP '1999-01-01'"),
@@ -876,6 +879,10 @@ oracle("stream_bronze_append", """
 SELECT seq, raw_record, op, ts_ms, TIMESTAMP '2024-02-01 03:04:05' AS processing_time,
   2024 AS year, 2 AS month, 1 AS day FROM user_feed
 """)
+oracle("stream_rejects", """
+SELECT event_id AS seq, CASE WHEN event_id % 7 IN (0, 1) THEN 'rejected' WHEN event_id % 7 = 2 THEN 'unreadable'
+  ELSE 'accepted' END AS outcome FROM events
+""")
 oracle("stream_two_topics", """
 SELECT 'orders' AS topic, CASE o_orderstatus WHEN 'P' THEN 'd' WHEN 'O' THEN 'c' ELSE 'u' END AS op,
   count(*) AS changes, min(epoch_ms(o_orderdate)) AS oldest_ms, max(epoch_ms(o_orderdate)) AS newest_ms

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -352,6 +352,24 @@ def fact_merge_incremental(s: Source) -> DataFrame:
     return facts.merge_fact("fact_sales", held, fresh).drop("product_id", "seller_id")
 
 
+@query
+def fact_reload(s: Source) -> DataFrame:
+    """Sales loaded three times: of the products and sellers that the first load lacks, the second
+    has most; every fifth stays unknown, so that lines keep NULL keys. No line is ever doubled."""
+    e = s.entities()
+    customer, seller, product = (s.stored(f"dim_{n}") for n in ("customer", "seller", "product"))
+
+    def load(known) -> DataFrame:
+        return facts.sales_lines(
+            e["orders"], e["order_items"], customer, seller.where(known("seller_id")), product.where(known("product_id"))
+        )
+
+    first = load(lambda key: F.col(key).cast("bigint") % 10 == 1)
+    later = load(lambda key: F.col(key).cast("bigint") % 5 != 0)
+    table = facts.merge_fact("fact_sales", first, later).drop(merge.ACTION)
+    return facts.merge_fact("fact_sales", table, later).select(*facts.SALES_COLUMNS)
+
+
 # --- joins ---
 
 
@@ -860,6 +878,23 @@ def stream_bronze_append(s: Source) -> DataFrame:
     return s.spark.read.parquet(_landed(s, s.change_feed(), "users"))
 
 
+@query
+def stream_rejects(s: Source) -> DataFrame:
+    """A feed with tombstones, broken messages and broken records: what became of every message."""
+    kind = F.col("seq") % 7
+    broken = '{"payload": {"after": "{user", "op": "u", "source": {"ts_ms": 1}}}'
+    value = F.when(kind == 1, F.lit("{payload")).when(kind == 2, F.lit(broken)).when(kind != 0, F.col("value"))
+    path = _landed(s, s.change_feed().withColumn("value", value), "mixed")
+    landed = s.spark.read.parquet(path)
+    lost = silver.unreadable_changes(landed, "user_id bigint, event_type string", ["user_id"])
+    parts = {
+        "accepted": landed.join(lost.select("seq"), "seq", "left_anti"),
+        "unreadable": lost,
+        "rejected": s.spark.read.parquet(path.replace("/bronze/", "/rejects/")),
+    }
+    return reduce(DataFrame.union, [rows.select("seq", F.lit(k).alias("outcome")) for k, rows in parts.items()])
+
+
 @query
 def stream_two_topics(s: Source) -> DataFrame:
     root = shared_dir(s.spark, "topics")
