@@ -34,6 +34,7 @@ def parser() -> argparse.ArgumentParser:
     extract.add_argument("--table_name", required=True, choices=sorted(ENTITIES))
     extract.add_argument("--url", required=True)
     extract.add_argument("--logical_date", type=datetime.fromisoformat)
+    _add_slices(extract)
 
     land = job("land", "land change topics until stopped")
     land.add_argument("--servers", required=True)
@@ -43,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
     silver.add_argument("--table_name", required=True, choices=sorted(ENTITIES))
     silver.add_argument("--json_schema", help="fields of a change record, as DDL")
     silver.add_argument("--url", help="relational source, for the sweep of deleted rows")
+    _add_slices(silver)
 
     job("dimensions", "load all dimensions").add_argument("--now")
     job("facts", "load all facts")
@@ -61,6 +63,20 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _add_slices(job: argparse.ArgumentParser) -> None:
+    job.add_argument("--partition_column", help="numeric or date column to read the source in slices by")
+    job.add_argument("--slices", type=int, default=64)
+    job.add_argument("--bounds", nargs=2, metavar=("LOW", "HIGH"), help="asked of the source when absent")
+
+
+def slices(args: argparse.Namespace) -> dict[str, object]:
+    """Options of a relational read in slices; none without a partition column."""
+    if not args.partition_column:
+        return {}
+    bounds = tuple(args.bounds) if args.bounds else None
+    return {"partition_column": args.partition_column, "num_partitions": args.slices, "bounds": bounds}
+
+
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = get_session(f"millrace-{args.job}")
@@ -70,7 +86,7 @@ def main(arguments: list[str] | None = None) -> None:
     if args.job == "seed":
         print(house.seed(args.folder))
     elif args.job == "extract":
-        rows = jdbc_source(spark, args.url)(args.table_name)
+        rows = jdbc_source(spark, args.url, **slices(args))(args.table_name)
         print(house.extract(args.table_name, rows, args.logical_date or datetime.now(UTC)))
     elif args.job == "land":
         topics = dict(pair.split("=", 1) for pair in args.topic)
@@ -81,7 +97,7 @@ def main(arguments: list[str] | None = None) -> None:
         keys = None
         if args.url:
             names = list(ENTITIES[args.table_name].keys)
-            keys = read_jdbc_keys(spark, args.url, args.table_name, names)
+            keys = read_jdbc_keys(spark, args.url, args.table_name, names, **slices(args))
         house.refresh_entity(args.table_name, keys, args.json_schema)
     elif args.job == "dimensions":
         house.refresh_dimensions(args.now or now)

@@ -175,6 +175,6 @@ class Lakehouse:
         alerts.write.mode("append").parquet(path)
 
 
-def jdbc_source(spark: SparkSession, url: str, **options: str) -> Callable[[str], DataFrame]:
+def jdbc_source(spark: SparkSession, url: str, **options: object) -> Callable[[str], DataFrame]:
     """Entities of a relational source, by name. The database's driver must be on the class path."""
     return lambda name: readers.read_jdbc(spark, url, name, **options)

@@ -31,8 +31,13 @@ def read_jdbc(
 
     Filters and column selections made on the result are pushed into the
     database by Spark. Without a partition column the read is one task, which
-    is right for small tables only.
+    is right for small tables only. With one, and without bounds, the database is
+    asked for its least and greatest value first; an empty table is read as one slice.
     """
+    if partition_column and bounds is None:
+        bounds = jdbc_bounds(spark, url, table, partition_column, **options)
+        if bounds is None:
+            partition_column = None
     reader = (
         spark.read.format("jdbc")
         .option("url", url)
@@ -41,8 +46,6 @@ def read_jdbc(
         .options(**options)
     )
     if partition_column:
-        if bounds is None:
-            raise ValueError("bounds are required with partition_column")
         reader = (
             reader.option("partitionColumn", partition_column)
             .option("lowerBound", str(bounds[0]))
@@ -52,11 +55,22 @@ def read_jdbc(
     return reader.load()
 
 
+def jdbc_bounds(
+    spark: SparkSession, url: str, table: str, column: str, **options: str
+) -> tuple[object, object] | None:
+    """Least and greatest value of a column, computed by the database; None without values."""
+    query = f"(SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}) AS bounds"
+    low, high = read_jdbc(spark, url, query, **options).first()
+    return None if low is None else (low, high)
+
+
 def read_jdbc_keys(
     spark: SparkSession, url: str, table: str, keys: list[str], **kwargs
 ) -> DataFrame:
     """Only the key columns of a relational table, for the hard-delete sweep."""
-    return read_jdbc(spark, url, f"(SELECT {', '.join(keys)} FROM {table}) AS tmp", **kwargs)
+    names = list(dict.fromkeys([*keys, kwargs.get("partition_column") or keys[0]]))
+    rows = read_jdbc(spark, url, f"(SELECT {', '.join(names)} FROM {table}) AS tmp", **kwargs)
+    return rows.select(*keys)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

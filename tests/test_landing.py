@@ -100,3 +100,52 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     with pytest.raises(RuntimeError):
         session.shared_dir(Session(), "x")
     assert session.shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+class _Recorder:
+    """Stands in for a session's reader, as no database is at hand: keeps the options of each read."""
+
+    def __init__(self, first=None):
+        self.reads, self._first = [], first
+
+    @property
+    def read(self):
+        self.reads.append({})
+        return self
+
+    def format(self, _):
+        return self
+
+    def option(self, key, value):
+        self.reads[-1][key] = value
+        return self
+
+    def options(self, **more):
+        self.reads[-1].update(more)
+        return self
+
+    def load(self):
+        return self
+
+    def first(self):
+        return self._first
+
+
+def test_jdbc_slices_from_the_command_line():
+    from millrace.__main__ import parser, slices
+    from millrace.jobs import jdbc_source
+
+    line = "extract --root r --table_name orders --url u --partition_column id --slices 8".split()
+    given = parser().parse_args([*line, "--bounds", "1", "9"])
+    fake = _Recorder()
+    jdbc_source(fake, "u", **slices(given))("orders")
+    assert fake.reads == [
+        {"url": "u", "dbtable": "orders", "fetchsize": "10000", "partitionColumn": "id", "lowerBound": "1", "upperBound": "9", "numPartitions": "8"}
+    ]
+    asked = _Recorder(first=(3, 70))
+    jdbc_source(asked, "u", **slices(parser().parse_args(line)))("orders")
+    assert "MIN(id)" in asked.reads[0]["dbtable"] and "partitionColumn" not in asked.reads[0]
+    assert (asked.reads[1]["lowerBound"], asked.reads[1]["upperBound"]) == ("3", "70")
+    empty = _Recorder(first=(None, None))
+    jdbc_source(empty, "u", **slices(parser().parse_args(line)))("orders")
+    assert "partitionColumn" not in empty.reads[1]
