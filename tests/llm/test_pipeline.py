@@ -44,7 +44,7 @@ def test_stages(spark):
     assert set(unique) == {c for _, _, c in brute.near_duplicates(pairs)}
 
     ids = list(unique)
-    spans = brute.repeats([unique[i].text for i in ids], 400)
+    spans = brute.repeats([unique[i].text for i in ids], corpus_pipeline.PASSAGE_BYTES)
     assert set(cut) == set(ids)
     for i, own in zip(ids, spans, strict=True):
         assert cut[i].text == fixed(own, unique[i].text.encode()) and cut[i].n_chars == len(cut[i].text)
