@@ -17,13 +17,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh, text_of
+from millrace.llm.common import fresh, release_memory, text_of
 
 # Characters that stand for the 256 bytes; all are letters, none is special to sentencepiece.
 FIRST_BYTE_CHAR = 0x100
 BYTE_CHARS = {b: FIRST_BYTE_CHAR + b for b in range(256)}
 # Distinct pre-tokens that a worker remembers; beyond it, the memory is emptied and fills anew.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 TOGETHER = 1_000_000
 
 
@@ -196,6 +196,8 @@ class BytePairCodec:
             codec = shared.codec(key)
             for texts in batches:
                 yield pd.Series(list(codec.encode(texts)), dtype=object)
+            codec.known.clear()
+            release_memory()
 
         return ids(text)
 
@@ -207,6 +209,7 @@ class BytePairCodec:
             codec = shared.codec(key)
             for values in batches:
                 yield pd.Series([codec.decode(v or b"") for v in values], dtype=object)
+            release_memory()
 
         return texts(ids)
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +44,14 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system. Python workers outlive their tasks, and would keep
+    what their largest task needed; called where a task of much memory ends."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def held(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df`` with ``value`` as a column that later filters read and do not recompute.
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import FOLD, col, cut, fresh, held, text_of
+from millrace.llm.common import FOLD, col, cut, fresh, held, release_memory, text_of
 
 RESULT = (
     "n_words long, n_hit long, items array<string>,"
@@ -186,6 +186,7 @@ def _scanned(shared):
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             yield pd.DataFrame(scan_texts(shared.value, list(texts), None), columns=COLUMNS)
+        release_memory()
 
     return scan
 

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import col, text_of, written
+from millrace.llm.common import col, release_memory, text_of, written
 
 END = b""  # the token after a text's last word; no word is empty
 OWN, CLASSES = 448, 64
@@ -28,7 +28,7 @@ WIDTH = 16
 HEAD_WORDS = 100_000  # broadcast, at most so many; the words beyond it are joined
 STEPS = 32
 NOISE, BATCH, RATE = 32, 1024, 0.15
-COUNTED_AT_ONCE = 500_000
+COUNTED_AT_ONCE = 300_000
 LN10 = float(np.log(10))
 
 
@@ -60,6 +60,8 @@ def count_words(texts: DataFrame) -> DataFrame:
                     counts = Counter()
         if counts:
             yield pd.DataFrame({"word": list(counts), "c": list(counts.values())})
+        del counts
+        release_memory()
 
     return texts.select("text").mapInPandas(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -241,7 +243,7 @@ def _token_arrays(vocabulary: Vocabulary, texts: list[str]):
     return words, begins, at, symbol, *_contexts(symbol, begins, end_symbol)
 
 
-def _groups(texts, most: int = 1 << 22) -> Iterator[list[str]]:
+def _groups(texts, most: int = 1 << 21) -> Iterator[list[str]]:
     group, held = [], 0
     for text in texts:
         group.append(text)
@@ -360,6 +362,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hea
                         "rare": rare,
                     }
                 )
+        release_memory()
 
     schema = (
         "doc_id string, held_out boolean, n_tokens long, head_tokens long, head_base double, head_score double,"

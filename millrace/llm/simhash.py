@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import col, components, fresh, text_of, written
+from millrace.llm.common import col, components, fresh, release_memory, text_of, written
 
 BITS = 64
 
@@ -62,6 +62,7 @@ def fingerprint(text: Column, size: int = 4, seed: int = 42) -> Column:
         for texts in batches:
             values = np.array([fingerprint_of(t, size, seed) for t in texts], dtype=np.uint64)
             yield pd.Series(values.view(np.int64))
+        release_memory()
 
     return simhash(text)
 

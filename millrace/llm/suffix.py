@@ -20,14 +20,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import col, cut, fresh, text_key, text_of, written
+from millrace.llm.common import col, cut, fresh, release_memory, text_key, text_of, written
 from millrace.llm.induced import SEPARATOR, Scratch, Shard, repeated_starts
 
 GRAM = 32  # bytes of an anchor's k-gram, a power of two
 BANDS = 2
 PIECE = 1 << 18  # bytes that are hashed at once
 PLACE_BITS = 20  # of a packed order value; above a piece's size, with a string's length
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 3 << 20
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -124,6 +124,7 @@ def find_contexts(texts: DataFrame, length: int) -> DataFrame:
             raw = [t.encode("utf-8", "surrogatepass") for t in batch["text"]]
             for number, key, start, size in contexts_of(raw, length):
                 yield pd.DataFrame({"text_key": keys[number], "key": key, "start": start, "size": size})
+        release_memory()
 
     return texts.mapInPandas(contexts, "text_key binary, key long, start long, size int")
 
@@ -171,6 +172,8 @@ def _sorted_shards(length: int):
             )
             for k in range(0, len(rows), 100_000):
                 yield rows[k : k + 100_000]
+            del shard, eligible, flags, change, first, stop, owner
+        release_memory()
 
     return work
 
