@@ -28,25 +28,32 @@ def segments(distance: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def fingerprint_of(text: str, size: int, seed: int) -> int:
-    """Unsigned fingerprint of one text; shingles are hashed in blocks, so memory stays bounded."""
+def shingle_hashes(text: str, size: int, seed: int) -> Iterator[np.ndarray]:
+    """Hashes of a text's shingles in blocks, so memory stays bounded; none of a text without words."""
     import xxhash
 
     digest = xxhash.xxh64_intdigest
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return
     line = b" ".join(words)
     ends = list(accumulate(len(w) + 1 for w in words))
     starts = [0, *ends[:-1]]
     last = ends[min(size, len(words)) - 1 :]
-    ones, block = np.zeros(BITS, dtype=np.int64), 1 << 16
+    block = 1 << 16
     for at in range(0, len(last), block):
         spans = zip(starts[at : at + block], last[at : at + block], strict=False)
-        h = np.array([digest(line[a : b - 1], seed) for a, b in spans], dtype=np.uint64)
+        yield np.array([digest(line[a : b - 1], seed) for a, b in spans], dtype=np.uint64)
+
+
+def fingerprint_of(text: str, size: int, seed: int) -> int:
+    """Unsigned fingerprint of one text."""
+    ones, total = np.zeros(BITS, dtype=np.int64), 0
+    for h in shingle_hashes(text, size, seed):
         bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(last), bitorder="little").view(np.uint64)[0])
+        total += len(h)
+    return int(np.packbits(2 * ones > total, bitorder="little").view(np.uint64)[0])
 
 
 def fingerprint(text: Column, size: int = 4, seed: int = 42) -> Column:
