@@ -28,6 +28,7 @@ BANDS = 2
 PIECE = 1 << 18  # bytes that are hashed at once
 PLACE_BITS = 20  # of a packed order value; above a piece's size, with a string's length
 SHARD_BYTES = 3 << 20
+HOT_BYTES = 3 << 20  # of distinct contexts with one region; more are split into narrower bands
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -65,8 +66,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def contexts_of(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text number, region hash, first start, size) of the contexts of texts of ``length`` bytes or
+def contexts_of(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text number, region hash, first start, size, bytes from it to the anchor) of the contexts of texts of ``length`` bytes or
     more. Short texts are hashed together, long ones in overlapping pieces, so memory is bounded."""
     powers = _powers(PIECE + 2 * length)
     group: list[tuple[int, int, bytes]] = []
@@ -112,21 +113,23 @@ def _contexts(group: list[tuple[int, int, bytes]], length: int, powers: tuple[np
     own = np.searchsorted(begins, start, side="right") - 1
     number = np.array([n for n, _, _ in group])[own]
     offset = np.array([o for _, o, _ in group])[own]
-    return number, key.view(np.int64), start - begins[own] + offset, count + length - 1
+    return number, key.view(np.int64), start - begins[own] + offset, count + length - 1, anchor - start
 
 
 def find_contexts(texts: DataFrame, length: int) -> DataFrame:
-    """(text_key, key, start, size): hash, first start and reach of each text's contexts."""
+    """(text_key, key, start, size, lead): hash, first start, reach and way to the anchor of each text's contexts."""
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys = batch["text_key"].to_numpy()
             raw = [t.encode("utf-8", "surrogatepass") for t in batch["text"]]
-            for number, key, start, size in contexts_of(raw, length):
-                yield pd.DataFrame({"text_key": keys[number], "key": key, "start": start, "size": size})
+            for number, key, start, size, lead in contexts_of(raw, length):
+                yield pd.DataFrame(
+                    {"text_key": keys[number], "key": key, "start": start, "size": size, "lead": lead}
+                )
         release_memory()
 
-    return texts.mapInPandas(contexts, "text_key binary, key long, start long, size int")
+    return texts.mapInPandas(contexts, "text_key binary, key long, start long, size int, lead int")
 
 
 def _sorted_shards(length: int):
@@ -187,6 +190,67 @@ def _with_bodies(texts: DataFrame, places: DataFrame, columns: list[str]) -> Dat
     return rows.select("text_key", "p.start", "p.size", *[f"p.{c}" for c in columns], body.alias("body"))
 
 
+def _shared(places: DataFrame) -> DataFrame:
+    """``places`` whose key another place has, too."""
+    shared = places.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # Stored, so that the join is between two plain shuffles, and hot regions can be split.
+    return places.join(written(shared, "shared"), "key")
+
+
+def _distinct(places: DataFrame) -> DataFrame:
+    """Of equal contexts one, which is sorted and stands for all."""
+    one = F.struct("text_key", "start", "size", "key")
+    distinct = places.groupBy("context").agg(F.count("*").alias("copies"), F.min(one).alias("one"))
+    return written(distinct.select("context", "copies", "one.*"), "distinct")
+
+
+def _narrower(texts: DataFrame, places: DataFrame, width: int, length: int) -> DataFrame:
+    """``places`` split into bands of ``width`` starts, each known by the longer region that its
+    strings have in common. Bands count from the anchor, so equal strings stay together."""
+    rows = _with_bodies(texts, places, ["key", "lead"])
+    # Starts are ``lead`` to ``last`` bytes before the anchor.
+    last = F.col("lead") - F.col("size") + length
+    bands = F.sequence(F.floor(last / width).cast("int"), F.floor(F.col("lead") / width).cast("int"))
+    rows = rows.select("*", last.alias("last"), F.explode(bands).alias("band"))
+    far = F.least(F.col("lead"), (F.col("band") + 1) * width - 1)
+    near = F.greatest(F.col("last"), F.col("band") * width)
+    skipped, size = F.col("lead") - far, far - near + length
+    region = F.substring("body", F.col("lead") - F.col("band") * width + 1, F.lit(length - width + 1))
+    return rows.select(
+        "text_key",
+        F.xxhash64("key", "band", region).alias("key"),
+        (F.col("start") + skipped).alias("start"),
+        size.cast("int").alias("size"),
+        far.cast("int").alias("lead"),
+        F.unhex(F.md5(F.substring("body", skipped + 1, size))).alias("context"),
+    )
+
+
+def dealt_contexts(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Places (text_key, start, size, key, lead, context) that may hold repeats, and the distinct
+    contexts among them (context, copies, text_key, start, size, key).
+
+    A region with more than HOT_BYTES of distinct contexts, such as a passage with another text
+    around it in every document, is split into narrower bands, down to single strings; of these,
+    equal ones are one context. So no key has more bytes than that.
+    """
+    found = written(find_contexts(texts, length), "contexts")
+    places = _with_bodies(texts, _shared(found), ["key", "lead"])
+    places = written(places.withColumn("context", F.unhex(F.md5("body"))).drop("body"), "places")
+    distinct = _distinct(places)
+    width = -(-(length - GRAM + 1) // BANDS)
+    while width > 1:
+        width = -(-width // 8)
+        hot = distinct.groupBy("key").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > HOT_BYTES)
+        hot = written(hot.select("key"), "hot")
+        if hot.isEmpty():
+            break
+        split = written(_narrower(texts, places.join(hot, "key", "left_semi"), width, length), "split")
+        places = written(places.join(hot, "key", "left_anti").unionByName(_shared(split)), "places")
+        distinct = _distinct(places)
+    return places, distinct
+
+
 def repeated_spans(texts: DataFrame, length: int = 400) -> DataFrame:
     """(text_key, spans): byte spans of each distinct text that are covered by repeated strings.
 
@@ -194,16 +258,7 @@ def repeated_spans(texts: DataFrame, length: int = 400) -> DataFrame:
     not touch. Texts without a repeat have no row.
     """
     spark = texts.sparkSession
-    found = written(find_contexts(texts, length), "contexts")
-    shared = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    # Stored, so that the join is between two plain shuffles, and hot regions can be split.
-    shared = written(shared, "shared")
-    places = _with_bodies(texts, found.join(shared, "key"), ["key"])
-    places = written(places.withColumn("context", F.unhex(F.md5("body"))).drop("body"), "places")
-    # Of equal contexts one is sorted, and stands for all.
-    one = F.struct("text_key", "start", "size", "key")
-    distinct = places.groupBy("context").agg(F.count("*").alias("copies"), F.min(one).alias("one"))
-    distinct = written(distinct.select("context", "copies", "one.*"), "distinct")
+    places, distinct = dealt_contexts(texts, length)
     volume = distinct.agg(F.sum("size")).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(volume) // SHARD_BYTES))
     dealt = _with_bodies(texts, distinct, ["context", "copies", "key"]).repartition(shards, "key")
