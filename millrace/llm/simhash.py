@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import col, components, fresh, release_memory, text_of, written
+from millrace.llm.common import col, components, fresh, release_memory, text_key, text_of, written
 
 BITS = 64
 
@@ -132,31 +132,41 @@ def near_duplicates(
     words have fingerprint 0 and are linked like any others. A null doc_id never is the smallest;
     a component of such rows only has a null component_id. Empty input: no rows.
     """
-    prints = written(
-        docs.select(col(doc_id).alias("doc_id"), fingerprint(text_of(text), size).alias("fp")), "prints"
+    return _grouped(docs, doc_id, text, size, distance).select("doc_id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, size: int = 4, distance: int = 4) -> DataFrame:
+    """The same with the text's digest and the component's root, the smallest fingerprint."""
+    own = docs.select(
+        col(doc_id).alias("doc_id"), text_key(text_of(text)).alias("text_key"), fingerprint(text_of(text), size).alias("fp")
     )
+    prints = written(own, "prints")
     # One row per fingerprint: copies are linked through it and never paired with each other.
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     pairs = links(classes, distance).select(F.col("b").alias("src"), F.col("a").alias("dst"))
     roots = components(pairs).withColumnRenamed("node", "fp")
     classes = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    owner = classes.join(least, "root").select("fp", "component_id")
-    return prints.join(owner, "fp").select("doc_id", "fp", "component_id")
+    owner = classes.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(owner, "fp")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of each group of near-duplicates: that with the smallest doc_id; same columns.
 
-    Of several rows with that doc_id (repeated rows, null ids) one stays. Which one is fixed by
-    their texts' hashes; rows equal in these, too, are interchangeable.
+    Keepers are chosen by group and found again by id and text, so a group without ids keeps a row,
+    and another text under a keeper's id doesn't take its place. Where unlike texts of one id are
+    the first of their groups, that with the least digest stays; ``nearcopies.drop_near_copies``
+    keeps all. Rows equal in id and text are interchangeable.
     """
-    found = near_duplicates(docs, doc_id, text, **options)
-    keepers = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp").distinct()
-    rank, fp = fresh(docs, "rank", "fp")
-    # A component may have several rows with its smallest id; a window keeps the first of them.
-    keepers = keepers.groupBy("doc_id").agg(F.min("fp").alias("fp"))
-    ids = keepers.select(F.col("doc_id").alias(fp))
-    own = docs.join(ids, col(doc_id).eqNullSafe(F.col(fp)), "left_semi")
-    order = Window.partitionBy(col(doc_id)).orderBy(F.xxhash64(text_of(text)), F.md5(text_of(text)))
-    return own.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
+    found = _grouped(docs, doc_id, text, **options)
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    first = found.groupBy("root").agg(F.min(place).alias("k")).select("k.doc_id", "k.text_key")
+    ids = first.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
+    own_id, own_key, rank = fresh(docs, "own_id", "own_key", "rank")
+    kept = written(ids.union(first.where("doc_id IS NULL")).toDF(own_id, own_key), "kept")
+    left = docs.withColumn(own_key, text_key(text_of(text)))
+    on = (left[own_key] == kept[own_key]) & col(doc_id).eqNullSafe(kept[own_id])
+    left = left.join(kept, on, "left_semi")
+    order = Window.partitionBy(col(doc_id), F.col(own_key)).orderBy(F.lit(1))
+    return left.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(own_key, rank)
