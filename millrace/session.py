@@ -63,6 +63,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/millrace/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df``, written to the shared folder and read again: lineage ends there."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of a plan: file sizes for scans, real size once cached."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
