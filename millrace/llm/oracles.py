@@ -103,8 +103,47 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+MIX = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size,
+    len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]')) AS symbols,
+    md5(coalesce(doc_id::VARCHAR, '') || '|13|' || md5(coalesce(text, ''))) AS digest
+  FROM documents
+), keyed AS (
+  SELECT doc_id, source, size::BIGINT AS size, ('0x' || substr(digest, 14, 15))::BIGINT AS tie,
+    CASE WHEN size > 0 THEN -ln((('0x' || substr(digest, 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+      / (size::DOUBLE / (size + 50.0) * (size::DOUBLE / (size + 5.0 * symbols))) END AS key
+  FROM sized
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, [3, 1, 2][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1] AS weight
+  FROM keyed GROUP BY source
+), whole AS (
+  SELECT sum(source_size) AS words, sum(weight) AS weights FROM sources
+), full_ones AS (
+  SELECT sum(2 * source_size) OVER w AS filled, sum(weight) OVER w AS used FROM sources
+  WINDOW w AS (ORDER BY 2 * source_size / weight::DOUBLE, source IS NULL, source ROWS UNBOUNDED PRECEDING)
+), levels AS (
+  SELECT 1.5::DOUBLE * words::DOUBLE / weights::DOUBLE AS level FROM whole
+  UNION ALL SELECT (1.5::DOUBLE * words::DOUBLE - filled::DOUBLE) / (weights - used)::DOUBLE FROM full_ones, whole WHERE used < weights
+), targets AS (
+  SELECT source, source_size, least(2.0::DOUBLE * source_size, (SELECT max(level) FROM levels) * weight::DOUBLE) AS target FROM sources
+), budgets AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT // source_size ELSE 0 END AS epochs,
+    CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT % source_size ELSE 0 END AS rest
+  FROM targets
+), placed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key NULLS LAST, tie
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead
+  FROM keyed
+)
+SELECT p.doc_id, p.size, b.source_size, b.target::DOUBLE AS target,
+  (b.epochs * p.size + greatest(0, least(p.size, b.rest - p.ahead)))::BIGINT AS taken
+FROM placed p JOIN budgets b ON p.source IS NOT DISTINCT FROM b.source"""
+
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _quality(),
     "op4_chat_format": CHAT,
     "op10_decontaminate": DECONTAMINATION,
+    "op13_source_mix": MIX,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontam, licences, logbilinear, quality, simhash, suffix, units, warc
+from millrace.llm import bpe, chat, decontam, licences, logbilinear, mixing, quality, simhash, suffix, units, warc
 from millrace.llm.common import cut_bytes, table, text_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -127,6 +127,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -140,5 +145,6 @@ QUERIES = {
         op8_simhash,
         op9_unit_dedup,
         op10_decontaminate,
+        op13_source_mix,
     )
 }
