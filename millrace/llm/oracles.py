@@ -103,6 +103,75 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+TRIE = r"""
+WITH turns AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+    md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id
+  FROM conversations
+), paths AS (
+  SELECT conv_id, list({'id': id, 'chars': chars} ORDER BY turn NULLS FIRST, id) AS own,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(conv_id::VARCHAR) + 1),
+        lambda i: ascii(substr(conv_id::VARCHAR, i::BIGINT, 1))::BIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda v, k: xor(v >> 1, (v & 1) * 3988292384))), 4294967295::BIGINT) % 6 AS h
+  FROM turns GROUP BY conv_id
+), whole AS (
+  SELECT p.conv_id, list_concat(coalesce(f.own[1:p.h], []), p.own[p.h + 1:]) AS path
+  FROM paths p LEFT JOIN paths f ON f.conv_id = p.conv_id - p.conv_id % 100
+), prefixes AS (
+  SELECT conv_id, len(path) AS length, d, list_transform(path[1:d], lambda x: x.id) AS node, coalesce(path[d].chars, 0) AS chars
+  FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM whole)
+), nodes AS (
+  SELECT node, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * any_value(chars) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (length = d), '')) AS ends_sha256
+  FROM prefixes GROUP BY node
+), kids AS (
+  SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), known AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (node)
+), below AS (
+  SELECT node[1:a] AS node, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM known) GROUP BY ALL
+)
+SELECT k.conv_id, k.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, b.n_leaves,
+  b.saved_tokens::BIGINT AS saved_tokens, k.ends_sha256
+FROM known k JOIN below b USING (node) LEFT JOIN known p ON k.depth > 0 AND p.node = k.node[1:k.depth - 1]"""
+
+
+SEARCH = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS place, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM documents
+), whole AS (
+  SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS n_terms FROM docs WHERE len(words) > 0
+), items AS (
+  SELECT row_number() OVER () AS item, item_id, unnest(list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term
+  FROM benchmark
+), item_terms AS (
+  SELECT item, item_id, term, count(*) AS repeats FROM items GROUP BY ALL
+), found AS (
+  SELECT place, doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT place, doc_id, len(words) AS n, unnest(words) AS term FROM docs)
+  WHERE term IN (SELECT term FROM item_terms) GROUP BY place, doc_id, term
+), weighed AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM found, whole GROUP BY term
+), parts AS (
+  SELECT place, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))) AS part
+  FROM found JOIN weighed USING (term), whole
+), scores AS (
+  SELECT item, item_id, place, doc_id, sum(repeats * part)::BIGINT AS score
+  FROM item_terms JOIN parts USING (term) GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
 MIX = r"""
 WITH sized AS (
   SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size,
@@ -145,5 +214,7 @@ ORACLES: dict[str, str] = {
     "op1_quality_rules": _quality(),
     "op4_chat_format": CHAT,
     "op10_decontaminate": DECONTAMINATION,
+    "op11_turn_trie": TRIE,
+    "op12_ranked_search": SEARCH,
     "op13_source_mix": MIX,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontam, licences, logbilinear, mixing, quality, simhash, suffix, units, warc
+from millrace.llm import bpe, chat, decontam, licences, logbilinear, mixing, quality, ranked, simhash, suffix, turntrie, units, warc
 from millrace.llm.common import cut_bytes, table, text_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -127,6 +127,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return turntrie.prefix_trie(turntrie.rebuilt(turntrie.conversation_paths(rows))).drop("turn_id")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    benchmark = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return ranked.search(docs, benchmark)
+
+
 def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -145,6 +156,8 @@ QUERIES = {
         op8_simhash,
         op9_unit_dedup,
         op10_decontaminate,
+        op11_turn_trie,
+        op12_ranked_search,
         op13_source_mix,
     )
 }
