@@ -24,7 +24,7 @@ def parser() -> argparse.ArgumentParser:
         sub = jobs.add_parser(name, help=text)
         sub.add_argument("--root", required=True, help="folder of the lakehouse")
         sub.add_argument("--active_only", action="store_true", help="leave out soft-deleted rows")
-        sub.add_argument("--buckets", type=int, help="buckets of the cleaned tables; fixed once used")
+        sub.add_argument("--buckets", type=int, help="partitions of the cleaned tables; fixed once used")
         return sub
 
     seed = job("seed", "load CSV files once")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ratio
+from millrace.ml import evaluation
 from millrace.plans.features import FEATURES
 
 # Share of the test part, seed, iteration limit.
@@ -112,8 +112,9 @@ def with_score(predictions: DataFrame) -> DataFrame:
 
 
 def roc_auc(predictions: DataFrame, label: str = "label") -> float:
-    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    return evaluator.evaluate(predictions)
+    """Exact area under the ROC curve of ``score``; NaN where a class has no rows."""
+    area = evaluation.roc_auc(predictions, label).first()["roc_auc"]
+    return float("nan") if area is None else area
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.ml.model import with_score
+from millrace.ml.expression import Weights
 from millrace.plans.features import FEATURES, scoring_features
 
 # Fixed value: an order is alerted below this probability of a good rating.
@@ -63,13 +63,14 @@ def impute_means(features: DataFrame, training: DataFrame) -> DataFrame:
 
 def alerts_for(
     candidates: DataFrame,
-    model: PipelineModel,
+    model: PipelineModel | Weights,
     scored_at: str,
     threshold: float = ALERT_THRESHOLD,
 ) -> DataFrame:
-    """Rows to append to the alert table."""
+    """Rows to append to the alert table. The model is applied as one expression."""
+    weights = model if isinstance(model, Weights) else Weights.of(model)
     return (
-        with_score(model.transform(candidates))
+        weights.predict(candidates)
         .where(F.col("score") < threshold)
         .select(
             "order_id",
@@ -84,7 +85,7 @@ def alerts_for(
 def score_new_orders(
     fact_sales: DataFrame,
     training: DataFrame,
-    model: PipelineModel,
+    model: PipelineModel | Weights,
     alerts: DataFrame | None,
     scored_at: str,
     threshold: float = ALERT_THRESHOLD,

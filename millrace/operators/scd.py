@@ -5,12 +5,15 @@ A version is valid in ``[effective_date, expiry_date)``; NULL expiry means open.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import any_changed, version_key
+from millrace.session import fits_broadcast, stored
 
 # Fixed value: start of validity of the versions of a first load.
 FIRST_EFFECTIVE = "1900-01-01 00:00:00"
@@ -118,26 +121,46 @@ def scd2_apply(
     return pairs.select(F.inline(rows)).unionByName(history)
 
 
+# From so many rows on, facts and versions together, a key is split by time ranges.
+HOT_ROWS = 5_000_000
+# Candidates per fact, on average over the keys, up to which they are looked up.
+FEW_VERSIONS = 8
+MOST_SLICES = 256
+
+
 def asof_join(
     facts: DataFrame,
     dimension: DataFrame,
     on: Mapping[str, str],
     at: str,
     take: Sequence[str],
+    plan: str = "lookup",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join to the version valid at ``at``; ``take`` columns are added, facts never multiply.
 
-    on: fact column → business key of the dimension.
+    on: fact column → business key of the dimension. Facts whose key or time is NULL match
+    nothing. Versions of one key must not overlap.
 
-    The key equality makes it a hash or sort-merge join with the interval as
-    residual condition. A key gains at most one version per load, so the
-    candidates per fact are bounded by the number of loads; a hot fact key is
-    split by adaptive execution on the fact side.
+    plan ``lookup``: key equality with the interval as residual condition. Every fact meets
+    all versions of its key, but a broadcast dimension leaves the facts where they are.
+    plan ``carry``: facts and versions are sorted together by key and time, once, and the last
+    version is carried forward; no row is made beyond these. Keys of more than ``hot_rows`` rows
+    are split into time ranges, each of which is handed the version that was last before it.
+    ``auto`` looks up what Spark would broadcast, or what has few versions a key, and carries
+    otherwise; to know that it counts the versions.
     """
     marks = {c: f"_v_{c}" for c in (*on.values(), "effective_date", "expiry_date")}
     versions = dimension.select(
         *[F.col(c).alias(alias) for c, alias in marks.items()], *[F.col(c) for c in take]
     )
+    if plan == "auto":
+        keys = [F.col(marks[k]) for k in on.values()]
+        plan = "lookup" if fits_broadcast(versions) or _few_versions(versions, keys) else "carry"
+    if plan == "carry":
+        return _carried(facts, versions, on, at, take, hot_rows)
+    if plan != "lookup":
+        raise ValueError(f"unknown plan: {plan}")
     expiry = F.col(marks["expiry_date"])
     valid = (F.col(at) >= F.col(marks["effective_date"])) & (
         (F.col(at) < expiry) | expiry.isNull()
@@ -145,3 +168,98 @@ def asof_join(
     for fact_column, key in on.items():
         valid = (F.col(fact_column) == F.col(marks[key])) & valid
     return facts.join(versions, valid, "left").drop(*marks.values())
+
+
+def _few_versions(versions: DataFrame, keys: Sequence[Column]) -> bool:
+    counted = versions.agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.struct(*keys)).alias("keys")
+    ).first()
+    return counted["n"] <= FEW_VERSIONS * max(1, counted["keys"])
+
+
+def _carried(
+    facts: DataFrame,
+    versions: DataFrame,
+    on: Mapping[str, str],
+    at: str,
+    take: Sequence[str],
+    hot_rows: int,
+) -> DataFrame:
+    keys = [f"_k{i}" for i in range(len(on))]
+    types = dict(versions.dtypes)
+    held = F.struct(F.col("_v_expiry_date").alias("expiry"), *[F.col(c) for c in take])
+    opened = versions.select(
+        *[F.col(f"_v_{c}").alias(k) for k, c in zip(keys, on.values(), strict=True)],
+        F.col("_v_effective_date").alias("_t"),
+        held.alias("_version"),
+        F.lit(None).cast(facts.schema).alias("_fact"),
+    ).where(_none_null([*keys, "_t"]))
+    asked = facts.select(
+        *[F.col(f).cast(types[f"_v_{c}"]).alias(k) for k, (f, c) in zip(keys, on.items(), strict=True)],
+        F.col(at).cast(types["_v_effective_date"]).alias("_t"),
+        F.lit(None).cast(opened.schema["_version"].dataType).alias("_version"),
+        F.struct(*[F.col(c) for c in facts.columns]).alias("_fact"),
+    )
+    never = asked.where(~_none_null([*keys, "_t"]))
+    rows = asked.where(_none_null([*keys, "_t"])).unionByName(opened)
+
+    rows = _sliced(rows, keys, hot_rows)
+    # At one time a version comes before facts; of versions, one that is still open comes last.
+    order = [
+        F.col("_t").asc_nulls_first(),
+        F.col("_fact").isNotNull(),
+        F.col("_version.expiry").asc_nulls_last(),
+    ]
+    frame = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    frame = frame.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = rows.withColumn("_version", F.last("_version", ignorenulls=True).over(frame))
+    found = last.where(F.col("_fact").isNotNull()).select("_fact", "_t", "_version")
+    found = found.unionByName(never.select("_fact", "_t", "_version"))
+    expiry = F.col("_version.expiry")
+    valid = (F.col("_t") < expiry) | expiry.isNull()
+    return found.select("_fact.*", *[F.when(valid, F.col(f"_version.{c}")).alias(c) for c in take])
+
+
+def _none_null(names: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(n).isNotNull() for n in names])
+
+
+def _sliced(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Add ``_slice``, the time range of a row within its key, and the versions handed to slices.
+
+    Only hot keys have more than one slice; ranges hold about as many rows each. Facts of
+    one moment that fills several ranges are shared among these, any of which serves them.
+    """
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
+    sizes = stored(sizes, "hot-keys")
+    most = sizes.agg(F.max("n")).first()[0]
+    if most is None:
+        return rows.withColumn("_slice", F.lit(0))
+    n = min(MOST_SLICES, math.ceil(most / hot_rows) + 1)
+    parts = [F.lit(k / n) for k in range(1, n)]
+    hot = rows.join(sizes.select(*keys), keys, "left_semi")
+    cuts = hot.groupBy(*keys).agg(
+        F.percentile_approx("_t", F.array(*parts), F.lit(20 * n)).alias("_cuts")
+    )
+    cuts = stored(cuts, "cuts")
+
+    rows = rows.join(cuts, keys, "left")
+    t = F.col("_t")
+    below = F.size(F.filter("_cuts", lambda c: c < t))
+    upto = F.size(F.filter("_cuts", lambda c: c <= t))
+    # By partition, which a task that is run again has again; within one, rows of a moment stay together.
+    share = F.pmod(F.xxhash64(t, F.spark_partition_id()), upto - below + 1).cast("int")
+    number = F.when(F.col("_fact").isNull(), below).otherwise(below + share)
+    rows = rows.withColumn("_slice", F.when(F.col("_cuts").isNull(), 0).otherwise(number)).drop("_cuts")
+
+    own = rows.where(F.col("_fact").isNull()).join(cuts.select(*keys), keys, "left_semi")
+    newest = F.max_by("_version", F.struct("_t", F.col("_version.expiry").isNull(), "_version.expiry"))
+    own = own.groupBy(*keys, "_slice").agg(newest.alias("_version"))
+    every = cuts.select(*keys, F.explode(F.sequence(F.lit(0), F.size("_cuts"))).alias("_slice"))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    handed = every.join(own, [*keys, "_slice"], "left").select(
+        *keys, "_slice", F.last("_version", ignorenulls=True).over(before).alias("_version")
+    )
+    blank = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name in ("_t", "_fact")}
+    handed = handed.where(F.col("_version").isNotNull()).select("*", *blank.values())
+    return rows.unionByName(handed)

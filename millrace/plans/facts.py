@@ -97,7 +97,7 @@ def sales_lines(
     purchased = "order_purchase_timestamp"
     delivered = "order_delivered_customer_date"
     of_order = asof_join(
-        orders, dim_customer, {"customer_id": "customer_id"}, purchased, ["customer_key"]
+        orders, dim_customer, {"customer_id": "customer_id"}, purchased, ["customer_key"], plan="auto"
     ).select(
         "order_id",
         "customer_key",
@@ -109,8 +109,12 @@ def sales_lines(
         F.datediff(delivered, "order_estimated_delivery_date").alias("delivery_delay_days"),
     )
     lines = order_lines(items).join(of_order, "order_id")
-    lines = asof_join(lines, dim_seller, {"seller_id": "seller_id"}, purchased, ["seller_key"])
-    lines = asof_join(lines, dim_product, {"product_id": "product_id"}, purchased, ["product_key"])
+    lines = asof_join(
+        lines, dim_seller, {"seller_id": "seller_id"}, purchased, ["seller_key"], plan="auto"
+    )
+    lines = asof_join(
+        lines, dim_product, {"product_id": "product_id"}, purchased, ["product_key"], plan="auto"
+    )
     lines = lines.withColumn("total_value", F.col("sale_price") * F.col("quantity"))
     return lines.select(*SALES_COLUMNS, "product_id", "seller_id")
 
@@ -154,8 +158,12 @@ def fact_reviews(
         .join(orders.select("order_id", "customer_id"), "order_id", "left")
         .join(first_products(items), "order_id", "left")
     )
-    rows = asof_join(rows, dim_customer, {"customer_id": "customer_id"}, reviewed, ["customer_key"])
-    rows = asof_join(rows, dim_product, {"product_id": "product_id"}, reviewed, ["product_key"])
+    rows = asof_join(
+        rows, dim_customer, {"customer_id": "customer_id"}, reviewed, ["customer_key"], plan="auto"
+    )
+    rows = asof_join(
+        rows, dim_product, {"product_id": "product_id"}, reviewed, ["product_key"], plan="auto"
+    )
     return rows.select(
         F.col("review_id").alias("Review_id"),
         F.col("order_id").alias("Order_id"),
@@ -172,8 +180,12 @@ def fact_shipment(
     purchased = "order_purchase_timestamp"
     delivered = "order_delivered_customer_date"
     rows = orders.join(first_items(items), "order_id")
-    rows = asof_join(rows, dim_customer, {"customer_id": "customer_id"}, purchased, ["customer_key"])
-    rows = asof_join(rows, dim_seller, {"seller_id": "seller_id"}, purchased, ["seller_key"])
+    rows = asof_join(
+        rows, dim_customer, {"customer_id": "customer_id"}, purchased, ["customer_key"], plan="auto"
+    )
+    rows = asof_join(
+        rows, dim_seller, {"seller_id": "seller_id"}, purchased, ["seller_key"], plan="auto"
+    )
     delay = F.datediff(delivered, "order_estimated_delivery_date")
     return rows.select(
         hash_key("order_id").alias("shipment_key"),

@@ -19,7 +19,7 @@ from millrace.plans import dimensions as dims
 from millrace.plans import facts
 from millrace.plans.marts import MARTS, build_mart
 from millrace.sources.entities import ENTITIES
-from millrace.sources.tables import SnapshotTable, register
+from millrace.sources.tables import PartitionedTable, SnapshotTable, register
 from millrace.streaming.silver import apply_rows, open_table, snapshot_rows
 
 VERSIONED = {
@@ -58,15 +58,16 @@ class Warehouse:
         buckets: int | None = None,
     ):
         """active_only: leave soft-deleted rows of the cleaned entities out of the loads.
-        buckets: keep the cleaned entities in so many buckets, for merges that touch few.
+        buckets: partitions of the cleaned entities, for merges that touch few. Entities that are
+        merged as whole extracts are snapshots unless it is given.
         """
         self.spark = spark
         self.root = root.rstrip("/")
         self.active_only = active_only
         self.buckets = buckets
 
-    def table(self, layer: str, name: str) -> SnapshotTable:
-        if layer == SILVER:
+    def table(self, layer: str, name: str) -> SnapshotTable | PartitionedTable:
+        if layer == SILVER and (self.buckets or ENTITIES[name].mode != "full"):
             return open_table(
                 self.spark, f"{self.root}/{layer}/{name}", ENTITIES[name].keys, self.buckets
             )

@@ -1,20 +1,23 @@
-"""Mutable tables kept as whole Parquet snapshots, and registration in the catalog.
+"""Mutable tables of Parquet files, and registration in the catalog.
 
-Spark cannot overwrite a path it is reading, so each write goes to a new
+Spark cannot overwrite a path it is reading, so each write of a snapshot table goes to a new
 folder ``v=<n>`` and becomes the current one when its ``_SUCCESS`` file exists.
-A job that dies half-way leaves the previous snapshot in force.
+A job that dies half-way leaves the previous snapshot in force. Tables that are merged by small
+batches lie in partitions instead, of which a batch replaces those it touches.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_BUCKET = "bucket_of_key"
+PARTS = 16
+_PART = "part_of_key"
+_APPLIED = "_APPLIED"
 _FOLDER = re.compile(r"^v=(\d+)(?:\.(.+))?$")
 
 
@@ -61,6 +64,9 @@ class SnapshotTable:
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.folder())
 
+    def recover(self) -> None:
+        """Nothing to finish: a write that was cut short is not in the table."""
+
     def read_for(self, rows: DataFrame) -> DataFrame:
         """The part of the table that a merge of ``rows`` must read and will write: all of it."""
         return self.read()
@@ -91,72 +97,107 @@ class SnapshotTable:
         return f"{self.path}/v={version:08d}" + (f".{tag}" if tag else "")
 
 
-class BucketedTable(SnapshotTable):
-    """A table for merges that touch few of its keys: only their buckets are rewritten.
+class PartitionedTable:
+    """A table for merges that touch few of its keys: only their partitions are rewritten.
 
-    Rows are spread over a fixed number of buckets by a hash of the key. A write
-    holds the buckets it replaces; the current table is the newest complete copy
-    of each. The number of buckets is part of the folder names and cannot change.
+    Rows lie in partitions by a hash of the key, in plain Parquet folders that any reader knows.
+    A write replaces the partitions it holds rows of and leaves the others alone. Its rows are
+    stored as a batch first and moved by a dynamic partition overwrite, which may be cut
+    short; the next writer then finishes it from the stored batch. The number of partitions is part of
+    the folder names and cannot change.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int):
-        super().__init__(spark, path)
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], parts: int = PARTS):
+        self.spark = spark
+        self.path = path.rstrip("/")
         self.keys = list(keys)
-        self.buckets = buckets
-
-    def bucket(self) -> Column:
-        number = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.buckets))
-        return F.concat(F.lpad(number.cast("string"), 6, "0"), F.lit(f"-{self.buckets}"))
-
-    def copies(self) -> dict[str, list[str]]:
-        """Folders of each bucket, oldest first."""
-        found = defaultdict(list)
-        complete = {self._folder(v, tag) for v, tag in self.snapshots().items()}
-        fs, pattern = _filesystem(self.spark, f"{self.path}/v=*/{_BUCKET}=*")
-        # Version numbers are padded, so folder names sort by age.
-        for folder in sorted(status.getPath().toString() for status in fs.globStatus(pattern) or []):
-            version, bucket = folder.rsplit("/", 2)[1:]
-            if f"{self.path}/{version}" in complete:
-                found[bucket.removeprefix(f"{_BUCKET}=")].append(folder)
-        wrong = [b for b in found if not b.endswith(f"-{self.buckets}")]
-        if wrong:
-            raise ValueError(f"{self.path} has another number of buckets: {wrong[0]}")
-        return found
+        self.parts = parts
+        self.rows = f"{self.path}/rows"
+
+    def part(self) -> Column:
+        number = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.parts))
+        return F.concat(F.lpad(number.cast("string"), 6, "0"), F.lit(f"-{self.parts}"))
+
+    def snapshots(self) -> dict[str, str]:
+        """Writes that are in the table and whose batches are known: tag → folder."""
+        return {name: folder for name, folder in self._batches().items() if self._exists(f"{folder}/{_APPLIED}")}
+
+    def exists(self) -> bool:
+        return bool(self._partitions())
+
+    def has_tag(self, tag: str) -> bool:
+        return tag in self.snapshots()
+
+    def recover(self) -> None:
+        """For the table's writer, before it reads: finish a write whose batch is stored completely."""
+        for folder in self._batches().values():
+            if not self._exists(f"{folder}/{_APPLIED}"):
+                self._apply(folder)
 
     def read(self) -> DataFrame:
-        return self._read([folders[-1] for folders in self.copies().values()])
+        return self._read().drop(_PART)
 
     def read_for(self, rows: DataFrame) -> DataFrame:
-        """The buckets that hold keys of ``rows``; their names are bounded by the bucket count."""
-        touched = {r[0] for r in rows.select(self.bucket()).distinct().collect()}
-        copies = self.copies()
-        folders = [copies[b][-1] for b in touched if b in copies]
-        if not folders:
-            return self.spark.createDataFrame([], self.read().schema)
-        return self._read(folders)
-
-    def _read(self, folders: list[str]) -> DataFrame:
-        if not folders:
-            raise FileNotFoundError(f"no complete snapshot in {self.path}")
-        # Read as roots of their own, so that no column is made from the folder names.
-        return self.spark.read.option("mergeSchema", "true").parquet(*folders)
+        """The partitions that hold keys of ``rows``; their names are bounded by the number of parts."""
+        touched = [r[0] for r in rows.select(self.part()).distinct().collect()]
+        return self._read().where(F.col(_PART).isin(touched)).drop(_PART)
+
+    def write(self, df: DataFrame, tag: str | None = None) -> str:
+        """Replace the partitions that ``df`` has rows of. ``tag`` names the write, so a replay can be
+        recognised."""
+        name = tag or uuid.uuid4().hex
+        folder = f"{self.path}/batches/{name}"
+        # Rebalanced, so that a partition becomes few files and a large one is still split.
+        rows = df.withColumn(_PART, self.part()).hint("rebalance", _PART)
+        rows.write.mode("overwrite").partitionBy(_PART).parquet(folder)
+        self._apply(folder)
+        for other, old in self._batches().items():
+            if other != name:
+                self._delete(old)
+        return folder
 
-    def folder(self) -> str:
-        raise NotImplementedError("the current rows are in the folders of several writes")
+    def vacuum(self, keep: int = 0) -> None:
+        """Drop the rows of batches that are in the table; the last batch's mark stays."""
+        for folder in self.snapshots().values():
+            for part in self._names(f"{folder}/{_PART}=*"):
+                self._delete(f"{folder}/{part}")
+
+    def _apply(self, folder: str) -> None:
+        if self._names(f"{folder}/{_PART}=*"):
+            batch = self.spark.read.option("mergeSchema", "true").parquet(folder)
+            writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(_PART).parquet(self.rows)
+        fs, mark = _filesystem(self.spark, f"{folder}/{_APPLIED}")
+        fs.create(mark).close()
+
+    def _read(self) -> DataFrame:
+        found = self._partitions()
+        if not found:
+            raise FileNotFoundError(f"no rows in {self.path}")
+        wrong = [p for p in found if not p.endswith(f"-{self.parts}")]
+        if wrong:
+            raise ValueError(f"{self.path} has another number of partitions: {wrong[0]}")
+        return self.spark.read.option("mergeSchema", "true").parquet(self.rows)
 
-    def write(
-        self, df: DataFrame, tag: str | None = None, partition_by: list[str] | None = None
-    ) -> str:
-        # Rebalanced, so that a bucket becomes few files and a large one is still split.
-        rows = df.withColumn(_BUCKET, self.bucket()).hint("rebalance", _BUCKET)
-        return super().write(rows, tag, [_BUCKET, *(partition_by or [])])
+    def _batches(self) -> dict[str, str]:
+        """Completely stored batches."""
+        base = f"{self.path}/batches"
+        return {n: f"{base}/{n}" for n in self._names(f"{base}/*") if self._exists(f"{base}/{n}/_SUCCESS")}
 
-    def vacuum(self, keep: int = 2) -> None:
-        """Drop all but the newest ``keep`` copies of each bucket."""
-        for folders in self.copies().values():
-            for folder in folders[:-keep]:
-                fs, path = _filesystem(self.spark, folder)
-                fs.delete(path, True)
+    def _partitions(self) -> list[str]:
+        return self._names(f"{self.rows}/{_PART}=*")
+
+    def _names(self, pattern: str) -> list[str]:
+        fs, path = _filesystem(self.spark, pattern)
+        return sorted(status.getPath().getName() for status in fs.globStatus(path) or [])
+
+    def _exists(self, path: str) -> bool:
+        fs, hadoop_path = _filesystem(self.spark, path)
+        return fs.exists(hadoop_path)
+
+    def _delete(self, path: str) -> None:
+        fs, hadoop_path = _filesystem(self.spark, path)
+        fs.delete(hadoop_path, True)
 
 
 def overwrite_and_register(
@@ -169,16 +210,15 @@ def overwrite_and_register(
     return spark.table(f"{database}.{name}")
 
 
-def register(spark: SparkSession, table: SnapshotTable, database: str, name: str) -> None:
-    """Make the current snapshot queryable as ``database.name`` (an external table).
-
-    A bucketed table becomes the temporary view ``database_name`` instead.
-    """
+def register(
+    spark: SparkSession, table: SnapshotTable | PartitionedTable, database: str, name: str
+) -> None:
+    """Make the table's current rows queryable as ``database.name`` (an external table)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    if isinstance(table, BucketedTable):
-        # Several folders make up the current rows; a view over them serves this session.
-        table.read().createOrReplaceTempView(f"{database}_{name}")
-        return
     spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-    spark.catalog.createTable(f"{database}.{name}", path=table.folder(), source="parquet")
+    partitioned = isinstance(table, PartitionedTable)
+    path = table.rows if partitioned else table.folder()
+    spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
+    if partitioned:
+        spark.catalog.recoverPartitions(f"{database}.{name}")
     spark.catalog.refreshTable(f"{database}.{name}")

@@ -1,4 +1,4 @@
-"""Micro-batch merge of landed files into a snapshot table."""
+"""Micro-batch merge of landed files into a partitioned table."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.functions.cleaning import clean
 from millrace.operators.dedup import latest_per_key
 from millrace.operators.merge import ACTION, merge_into
-from millrace.sources.tables import BucketedTable, SnapshotTable
+from millrace.sources.tables import PARTS, PartitionedTable, SnapshotTable
 from millrace.streaming.feed import DRAIN
 
 logger = logging.getLogger(__name__)
@@ -69,12 +69,13 @@ def snapshot_rows(
 
 def open_table(
     spark: SparkSession, path: str, keys: Sequence[str], buckets: int | None = None
-) -> SnapshotTable:
-    return BucketedTable(spark, path, keys, buckets) if buckets else SnapshotTable(spark, path)
+) -> PartitionedTable:
+    """The table that streams merge into; ``buckets`` is the number of its partitions."""
+    return PartitionedTable(spark, path, keys, buckets or PARTS)
 
 
 def apply_rows(
-    table: SnapshotTable,
+    table: SnapshotTable | PartitionedTable,
     rows: DataFrame,
     keys: Sequence[str],
     newer_by: Sequence[str] | None = None,
@@ -86,6 +87,7 @@ def apply_rows(
     The counts are observed while the result is written.
     """
     seen = Observation()
+    table.recover()
     if table.exists():
         # Rows that are absent from a snapshot can be anywhere in the table.
         held = table.read() if merge_options.get("absent") else table.read_for(rows)
@@ -117,13 +119,12 @@ def merge_stream(
     set_aside: is given each batch and its number before the merge, to store what
     can't be merged; it may see a batch again when that is replayed.
 
-    buckets: keep the table in so many buckets and rewrite only those that hold
-    keys of the batch.
+    buckets: number of partitions of the table; a batch rewrites those that hold keys of it.
 
-    The snapshot written for a batch is tagged with the query's id (kept in the
+    What is written for a batch is tagged with the query's id (kept in the
     checkpoint) and the batch number. When a batch is replayed after a failure
-    and its snapshot is complete, it is skipped; when it is not, the batch runs
-    again over the snapshot before it.
+    and its rows were stored completely, these are moved into the table if they are not there yet,
+    and the batch is skipped; otherwise it runs again over the table before it.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
@@ -131,6 +132,7 @@ def merge_stream(
         table = open_table(spark, table_path, keys, buckets)
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         tag = f"{query_id}-{batch_id}"
+        table.recover()
         if table.has_tag(tag):
             return
         if set_aside:

@@ -574,6 +574,19 @@ FROM orders_clean o LEFT JOIN d_customer c ON o.customer_id = c.customer_id
   AND order_purchase_timestamp >= effective_date
   AND (order_purchase_timestamp < expiry_date OR expiry_date IS NULL)
 """)
+oracle("join_asof_many_versions", """
+WITH days AS (
+  SELECT c_nationkey AS nation, o_orderdate AS effective_date, max(o_totalprice) AS highest, count(*) AS orders
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL
+), versions AS (
+  SELECT *, least(lead(effective_date) OVER (PARTITION BY nation ORDER BY effective_date),
+    effective_date + INTERVAL 3 DAYS) AS expiry_date
+  FROM days
+)
+SELECT l_orderkey, l_linenumber, l_partkey, s_nationkey, l_shipdate, highest, orders
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+LEFT JOIN versions ON nation = s_nationkey AND l_shipdate >= effective_date AND l_shipdate < expiry_date
+""")
 oracle("join_left_anti", """
 SELECT * FROM orders_clean WHERE order_id NOT IN (SELECT order_id FROM items_clean)
 """)
@@ -841,6 +854,20 @@ SELECT *, coalesce(2 * precision0 * recall0 / nullif(precision0 + recall0, 0), 0
 FROM class_rates
 """)
 oracle("agg_confusion_matrix", "SELECT * FROM confusion WHERE threshold = 0.55::DOUBLE")
+view("tied_scores", """
+SELECT score, count(*) FILTER (label = 1) AS good, count(*) FILTER (label = 0) AS bad
+FROM given_scores WHERE score IS NOT NULL GROUP BY score
+""")
+view("summed_scores", """
+SELECT good, bad,
+  coalesce(sum(bad) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+FROM tied_scores
+""")
+oracle("ml_roc_auc", """
+SELECT sum(good)::BIGINT AS positives, sum(bad)::BIGINT AS negatives,
+  sum(good * (2 * below + bad))::DOUBLE / nullif((2 * sum(good) * sum(bad))::DOUBLE, 0) AS roc_auc
+FROM summed_scores
+""")
 oracle("ml_threshold_search", "SELECT *, (f1_0 + f1_1) / 2 AS macro_f1 FROM class_measures")
 view("report", """
 SELECT *, tp0 + fn0 AS n0, tp1 + fp0 AS n1, tp0 + fn0 + tp1 + fp0 AS n
@@ -856,6 +883,65 @@ UNION ALL SELECT 'weighted avg', (precision0 * n0 + precision1 * n1) / n, (recal
   (f1_0 * n0 + f1_1 * n1) / n, n FROM report
 """)
 
+_MARGIN = """0.02429::DOUBLE + (delivery_delay::DOUBLE + 1.563) / 8.798 * 0.2284 + (delivery_time::DOUBLE - 17.98) / 8.369 * -0.2497
+  + (price_sum - 217200.0) / 122300.0 * -0.04948 + (price_mean - 52880.0) / 17570.0 * 0.02555
+  + (freight_sum - 8697.0) / 5627.0 * 0.004484 + (freight_mean - 2123.0) / 1078.0 * -0.002712
+  + (freight_ratio - 0.04011) / 0.0148 * -0.003099 + (item_count::DOUBLE - 4.084) / 1.964 * -0.002133
+  + (price_per_item - 52880.0) / 17570.0 * 0.02555 + (delay_ratio + 0.4185) / 0.8944 * 0.03479"""
+view("test_rows", f"""
+SELECT order_id, label, 1 / (1 + exp(-({_MARGIN}))) AS score FROM training_rows
+WHERE substr(md5(order_id || '|42'), 1, 8) >= 'cccccccc'
+  AND {" AND ".join(f"{c} IS NOT NULL" for c in _FEATURES)}
+""")
+oracle("ml_predict_stored", """
+SELECT order_id, label, round(score, 9) AS score, CASE WHEN score > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+FROM test_rows
+""")
+view("test_counts", """
+SELECT count(*) FILTER (score <= 0.5 AND label = 0)::DOUBLE AS tp0, count(*) FILTER (score <= 0.5 AND label = 1)::DOUBLE AS fp0,
+  count(*) FILTER (score > 0.5 AND label = 0)::DOUBLE AS fn0, count(*) FILTER (score > 0.5 AND label = 1)::DOUBLE AS tp1
+FROM (SELECT label, round(score, 9) AS score FROM test_rows)
+""")
+view("test_rates", """
+SELECT *, (tp0 + fn0)::BIGINT AS n0, (tp1 + fp0)::BIGINT AS n1,
+  coalesce(tp0 / nullif(tp0 + fp0, 0), 0) AS p0, coalesce(tp0 / nullif(tp0 + fn0, 0), 0) AS r0,
+  coalesce(tp1 / nullif(tp1 + fn0, 0), 0) AS p1, coalesce(tp1 / nullif(tp1 + fp0, 0), 0) AS r1
+FROM test_counts
+""")
+view("test_measures", """
+SELECT *, n0 + n1 AS n, coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0) AS f0, coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) AS f1
+FROM test_rates
+""")
+view("test_area", """
+SELECT sum(CASE WHEN g.score > b.score THEN 2 WHEN g.score = b.score THEN 1 ELSE 0 END)::DOUBLE
+  / nullif(2 * count(*), 0)::DOUBLE AS roc_auc
+FROM (SELECT round(score, 9) AS score FROM test_rows WHERE label = 1) g, (SELECT round(score, 9) AS score FROM test_rows WHERE label = 0) b
+""")
+oracle("ml_report_stored", """
+SELECT r.*, roc_auc FROM (
+SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1_score, n0 AS support FROM test_measures
+UNION ALL SELECT '1', p1, r1, f1, n1 FROM test_measures
+UNION ALL SELECT 'accuracy', NULL, NULL, (tp0 + tp1) / n, n FROM test_measures
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n FROM test_measures
+UNION ALL SELECT 'weighted avg', (p0 * n0 + p1 * n1) / n, (r0 * n0 + r1 * n1) / n, (f0 * n0 + f1 * n1) / n, n FROM test_measures
+) r, test_area
+""")
+view("imputed", "SELECT order_id, purchase_time_key, " + ", ".join(
+    f"coalesce(CAST(f.{c} AS DOUBLE), m.{c}, 0.0) AS {c}" for c in _FEATURES) + " FROM scored_features f, feature_means m")
+view("order_scores", f"SELECT order_id, purchase_time_key, 1 / (1 + exp(-({_MARGIN}))) AS score FROM imputed")
+view("first_alerts", """
+SELECT *, TIMESTAMP '2001-01-01 06:00:00' AS scored_at FROM order_scores
+WHERE score < 0.5 AND purchase_time_key = (SELECT max(purchase_time_key) FROM f_sales WHERE purchase_time_key <= 20001231)
+""")
+oracle("score_new_orders_stored", """
+SELECT order_id, purchase_time_key, round(score, 6) AS score, 0 AS predicted_label, scored_at FROM (
+  SELECT * FROM first_alerts
+  UNION ALL
+  SELECT *, TIMESTAMP '2001-08-02 06:00:00' FROM order_scores
+  WHERE score < 0.5 AND purchase_time_key > coalesce((SELECT max(purchase_time_key) FROM first_alerts), 0)
+    AND order_id NOT IN (SELECT order_id FROM first_alerts))
+""")
+
 view("canceled_alerts", """
 SELECT order_id, purchase_time_key FROM f_sales WHERE is_canceled = 1 AND purchase_time_key <= 20000630
 """)

@@ -6,20 +6,21 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from millrace.functions import cleaning
 from millrace.functions.columns import date_key, exact_mean, hash_key, key_date, rate, ratio
 from millrace.ml import evaluation, model, scoring
+from millrace.ml.expression import Weights
 from millrace.operators import dedup, merge, scd
 from millrace.plans import dimensions as dims
 from millrace.plans import facts, features, marts
 from millrace.session import plan_bytes, shared_dir
 from millrace.sources import landing, readers
 from millrace.sources.entities import CHANGE_RECORD_DDL
-from millrace.sources.tables import SnapshotTable
+from millrace.sources.tables import PartitionedTable, SnapshotTable
 from millrace.streaming import feed, silver
 from millrace.suite.views import Source
 
@@ -28,6 +29,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 USER_DDL = "user_id STRING, event_type STRING"
 # Thresholds tried in one pass.
 CANDIDATE_THRESHOLDS = (0.1, 0.25, 0.4, 0.55, 0.7)
+# A fitted model of good reviews; feature, mean, deviation, coefficient.
+REVIEW_WEIGHTS = (
+    ("delivery_delay", -1.563, 8.798, 0.2284),
+    ("delivery_time", 17.98, 8.369, -0.2497),
+    ("price_sum", 217200.0, 122300.0, -0.04948),
+    ("price_mean", 52880.0, 17570.0, 0.02555),
+    ("freight_sum", 8697.0, 5627.0, 0.004484),
+    ("freight_mean", 2123.0, 1078.0, -0.002712),
+    ("freight_ratio", 0.04011, 0.0148, -0.003099),
+    ("item_count", 4.084, 1.964, -0.002133),
+    ("is_high_freight", 0.0, 0.0, 0.0),
+    ("price_per_item", 52880.0, 17570.0, 0.02555),
+    ("delay_ratio", -0.4185, 0.8944, 0.03479),
+)
+REVIEW_INTERCEPT = 0.02429
 # Watermark between the first and the second extract.
 MID_JANUARY = "2024-01-15 00:00:00"
 
@@ -409,6 +425,27 @@ def join_asof_scd2(s: Source) -> DataFrame:
     )
 
 
+@query
+def join_asof_many_versions(s: Source) -> DataFrame:
+    """Lines with the highest order of the supplier's nation on the last day it had one, if that
+    is three days ago at most: some hundred versions a nation."""
+    nations = s.table("customer").select("c_custkey", F.col("c_nationkey").alias("nation"))
+    days = s.table("orders").join(nations, F.col("o_custkey") == F.col("c_custkey"))
+    days = days.groupBy("nation", F.col("o_orderdate").alias("effective_date")).agg(
+        F.max("o_totalprice").alias("highest"), F.count(F.lit(1)).alias("orders")
+    )
+    after = F.lead("effective_date").over(Window.partitionBy("nation").orderBy("effective_date"))
+    late = F.col("effective_date") + F.expr("INTERVAL 3 DAYS")
+    versions = days.withColumn("expiry_date", F.least(after, late))
+    lines = s.table("lineitem").join(
+        s.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey"
+    )
+    lines = lines.select("l_orderkey", "l_linenumber", "l_partkey", "s_nationkey", "l_shipdate")
+    return scd.asof_join(
+        lines, versions, {"s_nationkey": "nation"}, "l_shipdate", ["highest", "orders"], plan="carry"
+    )
+
+
 @query
 def join_left_anti(s: Source) -> DataFrame:
     """Orders without lines."""
@@ -782,6 +819,49 @@ def ml_mean_impute(s: Source) -> DataFrame:
     )
 
 
+@query
+def ml_roc_auc(s: Source) -> DataFrame:
+    return evaluation.roc_auc(_given_scores(s))
+
+
+def _stored_weights(s: Source) -> Weights:
+    """A model that was saved as a table, read back."""
+    path = shared_dir(s.spark, "weights")
+    Weights(*zip(*REVIEW_WEIGHTS, strict=True), REVIEW_INTERCEPT).save(s.spark, path)
+    return Weights.read(s.spark, path)
+
+
+@query
+def ml_predict_stored(s: Source) -> DataFrame:
+    """The test part, scored by a stored model."""
+    _, test = model.split(model.complete_rows(_training_features(s)))
+    scored = _stored_weights(s).predict(test)
+    return scored.select("order_id", "label", F.round("score", 9).alias("score"), "prediction")
+
+
+@query
+def ml_report_stored(s: Source) -> DataFrame:
+    """Report and ROC area of a stored model over its test part."""
+    _, test = model.split(model.complete_rows(_training_features(s)))
+    scored = _stored_weights(s).predict(test).select("label", F.round("score", 9).alias("score"))
+    area = evaluation.roc_auc(scored).select("roc_auc").scalar()
+    return evaluation.classification_report(scored, 0.5).select("*", area.alias("roc_auc"))
+
+
+@query
+def score_new_orders_stored(s: Source) -> DataFrame:
+    """``score_new_orders`` with a stored model."""
+    sales, training = s.stored("fact_sales"), _training_features(s)
+    alerts_path, weights = shared_dir(s.spark, "alerts"), _stored_weights(s)
+    early = sales.where("purchase_time_key <= 20001231")
+    first = scoring.score_new_orders(early, training, weights, None, "2001-01-01 06:00:00", 0.5)
+    first.write.mode("append").parquet(alerts_path)
+    held = s.spark.read.parquet(alerts_path)
+    second = scoring.score_new_orders(sales, training, weights, held, "2001-08-02 06:00:00", 0.5)
+    second.write.mode("append").parquet(alerts_path)
+    return s.spark.read.parquet(alerts_path).withColumn("score", F.round("score", 6))
+
+
 def _canceled_alerts(s: Source, sales: DataFrame) -> DataFrame:
     """Alerts of an earlier run: canceled orders up to mid-2000."""
     return sales.where("is_canceled = 1 AND purchase_time_key <= 20000630").select(
@@ -934,22 +1014,23 @@ def stream_silver_upsert(s: Source) -> DataFrame:
             "order_reviews",
         )
     )
-    return SnapshotTable(s.spark, f"{root}/silver").read()
+    return silver.open_table(s.spark, f"{root}/silver", ["review_id", "order_id"]).read()
 
 
-def _drain_items(s: Source, bronze: str, root: str) -> SnapshotTable:
+def _drain_items(s: Source, bronze: str, root: str) -> PartitionedTable:
+    keys = ["order_id", "order_item_id"]
     feed.finish(
         silver.merge_change_stream(
             _file_feed(s, bronze),
             f"{root}/silver",
             f"{root}/checkpoint",
-            ["order_id", "order_item_id"],
+            keys,
             CHANGE_RECORD_DDL["order_items"],
             "order_items",
             sequence="seq",
         )
     )
-    return SnapshotTable(s.spark, f"{root}/silver")
+    return silver.open_table(s.spark, f"{root}/silver", keys)
 
 
 @query
@@ -974,4 +1055,4 @@ def stream_restart_idempotent(s: Source) -> DataFrame:
                 sequence="seq",
             )
         )
-    return SnapshotTable(s.spark, f"{root}/silver").read()
+    return silver.open_table(s.spark, f"{root}/silver", ["user_id"]).read()

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.ml import evaluation, model, scoring
+from millrace.ml.expression import Weights
 from millrace.plans.features import FEATURES, scoring_features, training_features
 
 SALES = (
@@ -89,6 +90,28 @@ def test_threshold_choice(spark):
         evaluation.best_threshold(scored, mode="other")
 
 
+def test_area_of_pairs_in_order(spark):
+    pairs = [(1, 0.9), (1, 0.5), (0, 0.5), (0, 0.1), (0, 0.9), (None, 0.2), (1, None), (1, 0.3)] + [(0, 0.3)] * 50
+    df = spark.createDataFrame(pairs, "label int, score double").repartition(5)
+    good = [s for label, s in pairs if label == 1 and s is not None]
+    bad = [s for label, s in pairs if label == 0 and s is not None]
+    want = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / len(good) / len(bad)
+    row = evaluation.roc_auc(df).first()
+    assert (row.positives, row.negatives, row.roc_auc) == (len(good), len(bad), pytest.approx(want, abs=1e-15))
+    assert evaluation.roc_auc(df.where("label = 1")).first().roc_auc is None
+    assert evaluation.roc_auc(df.limit(0)).first().roc_auc is None
+
+
+def test_area_of_many_scores(spark):
+    df = spark.range(20_000).selectExpr("cast(id % 3 = 0 AS int) AS label", "cast(hash(id) % 500 AS double) AS score")
+    rows = df.toPandas()
+    ranks = rows["score"].rank()
+    good = rows["label"] == 1
+    n = int(good.sum())
+    want = (ranks[good].sum() - n * (n + 1) / 2) / (n * (len(rows) - n))
+    assert evaluation.roc_auc(df).first().roc_auc == pytest.approx(want, abs=1e-12)
+
+
 def test_candidates(spark, sales, rows):
     days = sales.agg(F.max("purchase_time_key")).first()[0]
     first = scoring.scoring_candidates(sales, None)
@@ -123,3 +146,35 @@ def test_train_save_and_score(spark, sales, training, tmp_path):
 def test_split_sizes_at_the_edges(spark):
     df = spark.range(1000).withColumnRenamed("id", "order_id")
     assert [model.split(df, test_size=t)[1].count() for t in (0.0, 1.0)] == [0, 1000]
+
+
+def test_expression_equals_the_pipeline(spark, training, tmp_path, plan_of):
+    fitted, scored = model.train(training, str(tmp_path / "model"))
+    weights = Weights.of(fitted)
+    names = ["order_id", *FEATURES, F.col("score").alias("of_model"), F.col("prediction").alias("class_of_model")]
+    both = weights.predict(scored.select(*names))
+    far = both.where("abs(score - of_model) > 1e-9 OR prediction <> class_of_model")
+    assert far.isEmpty() and both.count() == scored.count() > 0
+    plan = plan_of(weights.predict(training))
+    assert "Python" not in plan and "UDF" not in plan.upper().replace("PUSHEDFILTERS", "")
+
+
+def test_weights_survive_saving_and_leave_out_incomplete_rows(spark, training, tmp_path):
+    fitted, _ = model.train(training, str(tmp_path / "model"))
+    weights = Weights.of(fitted)
+    weights.save(spark, str(tmp_path / "weights"))
+    assert Weights.read(spark, str(tmp_path / "weights")) == weights
+    gaps = training.withColumn("price_sum", F.when(F.col("order_id") != "7", F.col("price_sum")))
+    assert weights.predict(gaps).where("order_id = '7'").isEmpty()
+    assert weights.predict(gaps).count() == training.where("order_id <> '7'").count()
+    flat = Weights(("price_sum",), (0.0,), (0.0,), (5.0,), 0.0)
+    assert {r.score for r in flat.predict(training).collect()} == {0.5}
+    with pytest.raises(TypeError):
+        Weights.of(type(fitted)(stages=fitted.stages[::-1]))
+
+
+def test_alerts_from_stored_weights_equal_those_of_the_pipeline(spark, sales, training, tmp_path, rows):
+    fitted, _ = model.train(training, str(tmp_path / "model"))
+    clock = "2018-02-01 00:00:00"
+    one, two = (scoring.score_new_orders(sales, training, m, None, clock, 0.6) for m in (fitted, Weights.of(fitted)))
+    assert rows(one) == rows(two)

@@ -4,6 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators import scd
 from millrace.operators.scd import scd2_apply, scd2_initial
@@ -126,3 +127,61 @@ def test_a_repeated_clock_replaces_the_version(spark):
     older = scd2_apply(held, spark.createDataFrame([("a", "w")], names), "k", "sk", ["city"], "2023-01-01 00:00:00")
     with pytest.raises(Exception, match="after the load's clock"):
         older.collect()
+
+
+@pytest.fixture(scope="module")
+def many_versions(spark):
+    """500 versions a key with gaps between some; facts before, between, at and after them."""
+    start = "timestamp_ntz'2000-01-01'"
+    versions = spark.range(3 * 500).selectExpr(
+        "concat('k', id % 3) AS id", "id AS a", f"{start} + make_interval(0, 0, 0, cast(id div 3 AS int) * 3) AS effective_date"
+    )
+    versions = versions.withColumn(
+        "expiry_date", F.expr("CASE WHEN a >= 1497 THEN NULL ELSE effective_date + make_interval(0, 0, 0, 2 + cast(a % 2 AS int)) END")
+    )
+    facts = spark.range(4000).selectExpr(
+        "id AS n",
+        "CASE WHEN id % 50 = 0 THEN NULL WHEN id % 7 = 0 THEN 'nobody' WHEN id % 3 = 0 THEN 'k1' ELSE 'k0' END AS fk",
+        f"CASE WHEN id % 41 = 0 THEN NULL WHEN id % 5 = 0 THEN {start} + INTERVAL 600 DAYS"
+        f" ELSE {start} + make_interval(0, 0, 0, cast(id % 1600 AS int) - 40) END AS at",
+    )
+    return facts.cache(), versions.cache()
+
+
+@pytest.mark.parametrize("hot_rows", [scd.HOT_ROWS, 2000, 60, 7])
+def test_carried_versions_equal_looked_up_ones(rows, many_versions, hot_rows):
+    """Whole keys, split keys, and moments that fill several time ranges."""
+    facts, versions = many_versions
+    on, take = {"fk": "id"}, ["a"]
+    want = scd.asof_join(facts, versions, on, "at", take)
+    got = scd.asof_join(facts, versions, on, "at", take, plan="carry", hot_rows=hot_rows)
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert rows(got) == rows(want) and len(rows(got)) == 4000
+
+
+def test_carrying_makes_no_rows_beyond_facts_and_versions(many_versions, plan_of):
+    facts, versions = many_versions
+    plan = plan_of(scd.asof_join(facts, versions, {"fk": "id"}, "at", ["a"], plan="carry"))
+    assert "Join" not in plan and plan.count("Window") == 1
+
+
+def test_plan_follows_the_number_of_versions(spark, many_versions, plan_of):
+    facts, versions = many_versions
+    first = versions.where("a < 3")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [plan_of(scd.asof_join(facts, v, {"fk": "id"}, "at", ["a"], plan="auto")) for v in (versions, first)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Window" in plans[0] and "SortMergeJoin" in plans[1]
+
+
+def test_carried_over_several_keys_and_no_versions(spark, rows):
+    facts = spark.createDataFrame([(1, "a", 1, datetime(2001, 1, 2)), (2, "a", 2, datetime(2001, 1, 2))], "n int, x string, y int, at timestamp_ntz")
+    versions = spark.createDataFrame([("a", 1, datetime(2001, 1, 2), None, "v")], "p string, q int, effective_date timestamp_ntz, expiry_date timestamp_ntz, w string")
+    on = {"x": "p", "y": "q"}
+    assert rows(scd.asof_join(facts, versions, on, "at", ["w"], plan="carry"), "n", "w") == [(1, "v"), (2, None)]
+    assert rows(scd.asof_join(facts, versions.limit(0), on, "at", ["w"], plan="carry"), "n", "w") == [(1, None), (2, None)]
+    assert scd.asof_join(facts.limit(0), versions, on, "at", ["w"], plan="carry").count() == 0
+    with pytest.raises(ValueError):
+        scd.asof_join(facts, versions, on, "at", ["w"], plan="other")

@@ -1,9 +1,11 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.sources.tables import SnapshotTable
+from millrace.operators import merge
+from millrace.sources import tables
 from millrace.streaming import feed, silver
 
 RECORD = "order_id STRING, order_status STRING"
@@ -118,7 +120,8 @@ def test_row_stream_keeps_the_newest(spark, rows, tmp_path):
         str(tmp_path / "checkpoint"), ["review_id", "order_id"], "last_modified_date", "order_reviews",
     )
     feed.finish(query, timeout=120)
-    got = rows(SnapshotTable(spark, str(tmp_path / "silver")).read(), "review_id", "review_score", "is_active")
+    table = silver.open_table(spark, str(tmp_path / "silver"), ["review_id", "order_id"])
+    got = rows(table.read(), "review_id", "review_score", "is_active")
     assert got == [("r1", 3, True), ("r2", None, True)]
 
 
@@ -154,26 +157,62 @@ def test_failed_stream_raises(spark, tmp_path):
         feed.finish(query, timeout=60)
 
 
-def test_only_touched_buckets_are_rewritten(spark, rows, tmp_path):
-    f = Feed(spark, tmp_path, buckets=8)
-    f.add(*[change("c", str(i), "new", 1, i) for i in range(100)])
+def files(table):
+    """Names of the data files of each partition."""
+    return {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in Path(table.rows).glob("part_of_key=*")}
+
+
+@pytest.mark.parametrize("buckets", [None, 8])
+def test_a_small_batch_rewrites_the_partitions_it_touches(spark, rows, tmp_path, buckets):
+    f = Feed(spark, tmp_path, buckets)
+    f.add(*[change("c", str(i), "new", 1, i) for i in range(300)])
+    f.drain()
+    first = files(f.table)
+    assert len(first) == (buckets or 16) and f.table.read().count() == 300
+    f.add(change("u", "7", "paid", 2, 400), change("c", "new", "new", 2, 401))
     f.drain()
-    first = f.table.copies()
-    assert len(first) == 8 and f.table.read().count() == 100
-    f.add(change("u", "7", "paid", 2, 200), change("c", "new", "new", 2, 201))
+    second = files(f.table)
+    assert 1 <= sum(second[p] != first[p] for p in second) <= 2 and second.keys() == first.keys()
+    wanted = {str(i): "new" for i in range(300)} | {"7": "paid", "new": "new"}
+    assert rows(f.table.read(), "order_id", "order_status") == sorted(wanted.items())
+    # Rows of batches that are in the table are not kept a second time.
+    assert not list(Path(f.table.path, "batches").glob("*/part_of_key=*"))
+
+
+def test_a_write_cut_short_is_finished_once(spark, rows, tmp_path):
+    """The driver dies after some partitions were deleted for the move, and the batch is replayed."""
+    f = Feed(spark, tmp_path)
+    f.add(*[change("c", str(i), "new", 1, i) for i in range(100)])
     f.drain()
-    second = f.table.copies()
-    rewritten = [b for b in second if second[b][-1] != first[b][-1]]
-    assert 1 <= len(rewritten) <= 2
-    got = rows(f.table.read(), "order_id", "order_status")
-    wanted = {str(i): "new" for i in range(100)} | {"7": "paid", "new": "new"}
-    assert got == sorted(wanted.items())
-    for n in range(3):  # old copies go, current ones stay
-        f.add(change("u", "7", f"s{n}", 3 + n, 300 + n))
-        f.drain()
-    assert max(map(len, f.table.copies().values())) == 2
-    assert rows(f.table.read().where("order_id = '7'"), "order_status") == [("s2",)]
-    assert f.table.read().count() == 101
+    table = f.table
+    changed = table.read().where("order_id < '5'").withColumn("order_status", F.lit("paid"))
+    merged = merge.upsert(table.read(), changed, ["order_id"])
+
+    class Dies(tables.PartitionedTable):
+        def _apply(self, folder):
+            raise RuntimeError("gone")
+
+    with pytest.raises(RuntimeError):
+        Dies(spark, table.path, ["order_id"], table.parts).write(merged, "again")
+    for folder in list(Path(table.rows).glob("part_of_key=*"))[:3]:
+        for file in folder.iterdir():
+            file.unlink()
+        folder.rmdir()
+    assert not table.has_tag("again")
+    table.recover()
+    assert table.has_tag("again")
+    wanted = [(str(i), "paid" if str(i) < "5" else "new") for i in range(100)]
+    assert rows(table.read(), "order_id", "order_status") == sorted(wanted)
+    before = files(table)
+    table.recover()
+    assert files(table) == before
+
+
+def test_merge_reads_only_touched_partitions(spark, tmp_path, plan_of):
+    table = silver.open_table(spark, str(tmp_path / "t"), ["k"])
+    silver.apply_rows(table, spark.range(1000).selectExpr("id AS k", "'a' AS v"), ["k"])
+    plan = plan_of(table.read_for(spark.range(5, 6).selectExpr("id AS k")))
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
 
 
 def test_bucket_count_is_fixed(spark, tmp_path):
