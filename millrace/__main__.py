@@ -14,6 +14,7 @@ from millrace.session import get_session
 from millrace.sources.entities import ENTITIES
 from millrace.sources.readers import read_jdbc_keys
 from millrace.streaming.feed import kafka_feed
+from millrace.streaming.supervise import Supervisor
 
 
 def parser() -> argparse.ArgumentParser:
@@ -91,8 +92,9 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.job == "land":
         topics = dict(pair.split("=", 1) for pair in args.topic)
         feeds = {name: kafka_feed(spark, args.servers, topic) for name, topic in topics.items()}
-        house.land_changes(feeds)
-        spark.streams.awaitAnyTermination()
+        queries = house.land_changes(feeds)
+        with Supervisor(spark, f"{house.root}/counts") as supervisor:
+            supervisor.finish(*queries.values(), names=list(queries))
     elif args.job == "silver":
         keys = None
         if args.url:

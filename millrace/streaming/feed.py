@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.streaming.supervise import Supervisor
+
 # Fixed value: the message layout of the change feed.
 ENVELOPE = (
     "payload STRUCT<before: STRING, after: STRING, op: STRING, source: STRUCT<ts_ms: BIGINT>>"
@@ -130,7 +132,7 @@ def land_topics(
     feeds: Mapping[str, DataFrame], root: str, **options
 ) -> dict[str, StreamingQuery]:
     """Two queries per feed, all in this session: the usable changes under the feed's name, and
-    what they leave out under "rejects/name". Wait with ``finish`` or ``awaitAnyTermination``."""
+    what they leave out under "rejects/name". Wait with ``finish``."""
     queries = {}
     for name, stream in feeds.items():
         queries[name] = land(stream, f"{root}/bronze/{name}", f"{root}/checkpoints/bronze/{name}", **options)
@@ -141,12 +143,7 @@ def land_topics(
 
 
 def finish(*queries: StreamingQuery, timeout: int | None = None) -> None:
-    """Wait for draining queries; raise when one failed, or did not end within ``timeout`` seconds."""
-    for query in queries:
-        if timeout is None:
-            query.awaitTermination()
-        elif not query.awaitTermination(timeout):
-            query.stop()
-            raise TimeoutError(f"stream {query.id} did not end within {timeout} s")
-        if query.exception() is not None:
-            raise query.exception()
+    """Wait for draining queries. When one fails, or they did not end within ``timeout`` seconds,
+    all are stopped and that is raised."""
+    with Supervisor(SparkSession.active()) as supervisor:
+        supervisor.finish(*queries, timeout=timeout)

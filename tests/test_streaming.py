@@ -1,4 +1,5 @@
 import json
+import time
 from pathlib import Path
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import merge
 from millrace.sources import tables
 from millrace.streaming import feed, silver
+from millrace.streaming.supervise import Supervisor
 
 RECORD = "order_id STRING, order_status STRING"
 BRONZE = "raw_record string, op string, ts_ms long, seq long"
@@ -229,3 +231,57 @@ def test_new_column_of_a_later_batch(spark, rows, tmp_path):
     silver.apply_rows(table, spark.range(3, 4).selectExpr("id AS k", "'b' AS v", "1 AS w"), ["k"])
     assert rows(table.read().where("w = 1")) == [(3, "b", 1)]
     assert table.read().count() == 20
+
+
+def _slow(batch, _):
+    batch.count()
+    time.sleep(0.2)
+
+
+def _fail(batch, _):
+    raise ValueError("second topic is broken")
+
+
+def _started(spark, root, name, work, trigger):
+    spark.range(5).write.mode("overwrite").parquet(f"{root}/{name}-in")
+    stream = feed.file_feed(spark, f"{root}/{name}-in").writeStream.foreachBatch(work)
+    return stream.option("checkpointLocation", f"{root}/{name}-cp").trigger(**trigger).queryName(name).start()
+
+
+def test_a_failure_of_the_second_topic_ends_all_at_once(spark, tmp_path):
+    """The first one would go on for ever."""
+    endless = {"processingTime": "200 milliseconds"}
+    counts = str(tmp_path / "counts")
+    with Supervisor(spark, counts) as supervisor:
+        first = _started(spark, tmp_path, "first", _slow, endless)
+        while not first.recentProgress:
+            time.sleep(0.1)
+        second = _started(spark, tmp_path, "second", _fail, endless)
+        began = time.monotonic()
+        with pytest.raises(Exception, match="second topic is broken"):
+            supervisor.finish(first, second)
+        assert time.monotonic() - began < 30
+    assert not first.isActive and not second.isActive
+    told = {(r.query, r.input_rows, r.failure is not None) for r in spark.read.parquet(counts).collect()}
+    assert ("first", 5, False) in told and ("second", 0, True) in told
+
+
+def test_rows_of_each_batch_are_counted(spark, tmp_path):
+    counts = str(tmp_path / "counts")
+    for n in (3, 4):
+        spark.range(n).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = feed.file_feed(spark, str(tmp_path / "in"), max_files=1)
+    with Supervisor(spark, counts) as supervisor:
+        query = (
+            stream.writeStream.foreachBatch(lambda batch, _: batch.count())
+            .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        )
+        assert supervisor.finish(query, names=["rows"]) == {"rows": 7}
+    assert sorted(r.input_rows for r in spark.read.parquet(counts).collect()) == [3, 4]
+
+
+def test_streams_that_do_not_end_in_time_are_stopped(spark, tmp_path):
+    query = _started(spark, tmp_path, "endless", _slow, {"processingTime": "1 second"})
+    with pytest.raises(TimeoutError):
+        feed.finish(query, timeout=2)
+    assert not query.isActive
