@@ -35,6 +35,7 @@ def merge_into(
     absent: Mapping[str, object] | None = None,
     newer_by: Sequence[str] | None = None,
     plan: str = "auto",
+    unique: bool = False,
 ) -> DataFrame:
     """Merge ``source`` into ``target``.
 
@@ -42,6 +43,8 @@ def merge_into(
     newer_by: a matched row is replaced only when the source's values of these
         columns are not older than the target's.
     plan: ``outer``, ``lookup`` or ``auto`` (by the estimated size of the source).
+    unique: the source is known to have one row per key, as after ``latest_per_key``; it is not
+        read once more to check that.
 
     Source columns that the target lacks are added; target columns that the
     source lacks keep their values.
@@ -49,7 +52,7 @@ def merge_into(
     if plan == "auto":
         plan = "lookup" if fits_broadcast(source) and not fits_broadcast(target) else "outer"
     held = target.select(*_prefixed(target, "t"), F.lit(True).alias("_in_t"))
-    given = source.select(*_prefixed(source, "s"), _checked_unique(source, keys).alias("_in_s"))
+    given = source.select(*_prefixed(source, "s"), (F.lit(True) if unique else _checked_unique(source, keys)).alias("_in_s"))
     same_key = reduce(
         Column.__and__, [F.col(f"_t_{k}").eqNullSafe(F.col(f"_s_{k}")) for k in keys]
     )

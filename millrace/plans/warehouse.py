@@ -19,6 +19,7 @@ from millrace.plans import dimensions as dims
 from millrace.plans import facts
 from millrace.plans.marts import MARTS, build_mart
 from millrace.sources.entities import ENTITIES
+from millrace.sources.catalog import buckets_for, save_bucketed
 from millrace.sources.tables import PartitionedTable, SnapshotTable, register
 from millrace.streaming.silver import apply_rows, open_table, snapshot_rows
 
@@ -44,6 +45,7 @@ CALENDAR_DATES = {
     "order_items": ("shipping_limit_date",),
     "order_reviews": ("review_creation_date",),
 }
+BY_ORDER = ("orders", "order_items", "order_payments", "order_reviews")
 FACTS = ("fact_sales", "fact_reviews", "fact_payments", "fact_shipment")
 
 SILVER, GOLD, MART = "silver", "dw_db", "mart_db"
@@ -90,7 +92,7 @@ class Warehouse:
         entity = ENTITIES[name]
         latest = snapshot_rows(rows, entity.keys, entity.watermark, name)
         return apply_rows(
-            self.table(SILVER, name), latest, entity.keys, absent={"is_active": False}
+            self.table(SILVER, name), latest, entity.keys, absent={"is_active": False}, unique=True
         )
 
     def sweep(self, name: str, source_keys: DataFrame) -> int:
@@ -182,6 +184,13 @@ class Warehouse:
         table.write(self.mart(name))
         table.vacuum()
 
+    def publish_bucketed(self, database: str = "silver_by_order") -> dict[str, DataFrame]:
+        """Copies of the entities of orders as catalog tables bucketed by order, to be given to ``fact``
+        as ``entities``: groupings and joins of their lines by order then need no shuffle."""
+        rows = {name: self.entity(name) for name in BY_ORDER}
+        buckets = buckets_for(*rows.values())
+        return {n: save_bucketed(df, database, n, ["order_id"], buckets) for n, df in rows.items()}
+
     def publish(self) -> None:
         """Register every stored table in the session's catalog."""
         for layer, names in (

@@ -113,12 +113,15 @@ def merge_stream(
     trigger: Mapping[str, object] = DRAIN,
     buckets: int | None = None,
     set_aside: Callable[[DataFrame, int], None] | None = None,
+    unique: bool = False,
 ) -> StreamingQuery:
     """Merge each micro-batch into the table, exactly once.
 
     set_aside: is given each batch and its number before the merge, to store what
     can't be merged; it may see a batch again when that is replayed.
 
+    unique: ``to_rows`` gives one row per key.
+
     buckets: number of partitions of the table; a batch rewrites those that hold keys of it.
 
     What is written for a batch is tagged with the query's id (kept in the
@@ -143,7 +146,7 @@ def merge_stream(
         try:
             if rows.count() == 0:
                 return
-            done = apply_rows(table, rows, keys, newer_by, tag)
+            done = apply_rows(table, rows, keys, newer_by, tag, unique=unique)
             logger.info("batch %s: %s", batch_id, done)
         finally:
             rows.unpersist()
@@ -183,6 +186,7 @@ def merge_change_stream(
         lambda batch: change_rows(batch, record_ddl, keys, entity, sequence),
         newer_by,
         set_aside=set_aside if rejects else None,
+        unique=True,
         **options,
     )
 
@@ -204,5 +208,6 @@ def merge_row_stream(
         keys,
         lambda batch: snapshot_rows(batch, keys, latest_by, entity),
         [latest_by],
+        unique=True,
         **options,
     )

@@ -951,6 +951,73 @@ WHERE purchase_time_key > (SELECT max(purchase_time_key) FROM canceled_alerts)
   AND order_id NOT IN (SELECT order_id FROM canceled_alerts)
 """)
 
+# --- insights ---
+
+view("bought", """
+SELECT customer_key, CAST(strptime(CAST(purchase_time_key AS VARCHAR), '%Y%m%d') AS DATE) AS day,
+  sum(sale_price * quantity) AS spent
+FROM f_sales WHERE customer_key IS NOT NULL AND purchase_time_key IS NOT NULL GROUP BY ALL
+""")
+view("bought_recent", """
+SELECT b.customer_key, b.day, b.spent, sum(a.spent) AS recent
+FROM bought b JOIN bought a ON a.customer_key = b.customer_key AND a.day BETWEEN b.day - 89 AND b.day
+WHERE b.day <= DATE '2001-08-31' GROUP BY ALL
+""")
+view("customer_sums", """
+SELECT customer_key, count(*) AS frequency, sum(spent) AS spent, max(recent) AS recent_peak,
+  CAST(DATE '2001-08-31' - max(day) AS INTEGER) AS recency, CAST(DATE '2001-08-31' - min(day) + 1 AS INTEGER) AS age
+FROM bought_recent GROUP BY customer_key
+""")
+view("rate_fit", """
+SELECT m, each, greatest(0, (xx - 2 * m * xt + m * m * tt - x) / tt) AS v FROM (
+  SELECT *, x / t AS m, s / x AS each FROM (
+    SELECT sum(frequency)::DOUBLE AS x, sum(age)::DOUBLE AS t, sum(frequency * frequency)::DOUBLE AS xx,
+      sum(frequency * age)::DOUBLE AS xt, sum(age * age)::DOUBLE AS tt, sum(spent)::DOUBLE AS s FROM customer_sums))
+""")
+oracle("customer_lifetime_value", """
+SELECT customer_key, frequency, spent::DOUBLE AS spent, recent_peak::DOUBLE AS recent_peak, recency, age,
+  round(purchases, 6) AS expected_purchases, round(money, 6) AS expected_each, round(purchases * money, 6) AS lifetime_value
+FROM (SELECT *, 365 * ((m * m + v * frequency) / (m + v * age)) AS purchases, (spent::DOUBLE + each) / (frequency + 1) AS money
+  FROM customer_sums, rate_fit)
+""")
+oracle("product_popularity", """
+SELECT product_key, round(sum(quantity * pow(0.5, date_diff('day', strptime(CAST(purchase_time_key AS VARCHAR), '%Y%m%d'),
+    TIMESTAMP '2001-08-31') / 90.0)), 6) AS popularity, CAST(sum(quantity) AS BIGINT) AS sold
+FROM f_sales WHERE product_key IS NOT NULL AND purchase_time_key <= 20010831 GROUP BY product_key
+""")
+view("category_reviews", """
+SELECT DISTINCT category_key, seller_key, r."Review_id" AS review_id, r."Order_id" AS order_id, r."Review_score" AS score
+FROM f_sales f JOIN d_product p ON f.product_key = p.product_key JOIN f_reviews r ON r."Order_id" = f.order_id
+WHERE seller_key IS NOT NULL AND r."Review_score" IS NOT NULL
+""")
+view("seller_sums", """
+SELECT category_key, seller_key, count(*) AS n, sum(score) AS total, sum(score * score) AS squares
+FROM category_reviews GROUP BY ALL
+""")
+view("category_fit", """
+SELECT category_key, count(*) AS sellers, sum(n) AS all_n, sum(total) / sum(n)::DOUBLE AS category_mean,
+  (sum(squares) - sum(total * total / n::DOUBLE)) / nullif(sum(n) - count(*), 0) AS within,
+  (sum(total * total / n::DOUBLE) - sum(total) * sum(total) / sum(n)::DOUBLE) / nullif(count(*) - 1, 0) AS spread,
+  (sum(n) - sum(n * n) / sum(n)::DOUBLE) / nullif(count(*) - 1, 0) AS size
+FROM seller_sums GROUP BY category_key
+""")
+oracle("seller_reputation", """
+SELECT category_key, seller_key, n AS reviews, round(own, 6) AS mean_score, round(category_mean, 6) AS category_mean,
+  round(w, 6) AS own_weight, round(w * own + (1 - w) * category_mean, 6) AS reputation
+FROM (SELECT *, total / n::DOUBLE AS own, coalesce(n * b / nullif(n * b + within, 0), 0) AS w
+  FROM (SELECT *, greatest(0, (spread - within) / nullif(size, 0)) AS b FROM seller_sums JOIN category_fit USING (category_key)))
+""")
+
+# --- catalog ---
+
+oracle("catalog_payments_by_order", """
+SELECT * REPLACE (CAST("Total_payment_value" AS DOUBLE) AS "Total_payment_value") FROM f_payments
+""")
+oracle("catalog_lines_by_order", f"""
+SELECT {_LINES_AS_DOUBLE}, customer_id, order_status
+FROM order_lines l JOIN orders_clean o ON l.order_id = o.order_id
+""")
+
 # --- change feed and streaming ---
 
 oracle("cdc_envelope_parse", "SELECT seq, raw_record, op, ts_ms FROM user_feed")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce, wraps
@@ -16,9 +17,9 @@ from millrace.ml import evaluation, model, scoring
 from millrace.ml.expression import Weights
 from millrace.operators import dedup, merge, scd
 from millrace.plans import dimensions as dims
-from millrace.plans import facts, features, marts
+from millrace.plans import facts, features, insights, marts
 from millrace.session import plan_bytes, shared_dir
-from millrace.sources import landing, readers
+from millrace.sources import catalog, landing, readers
 from millrace.sources.entities import CHANGE_RECORD_DDL
 from millrace.sources.tables import PartitionedTable, SnapshotTable
 from millrace.streaming import feed, silver
@@ -909,6 +910,69 @@ def score_new_orders(s: Source) -> DataFrame:
     return s.spark.read.parquet(alerts_path)
 
 
+# --- insights ---
+
+
+def _rounded(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: F.round(F.col(n).cast("double"), 6) for n in names})
+
+
+@query
+def customer_lifetime_value(s: Source) -> DataFrame:
+    history = insights.customer_history(insights.purchases(s.stored("fact_sales")), "2001-08-31")
+    values = insights.lifetime_value(history)
+    return _rounded(values, "expected_purchases", "expected_each", "lifetime_value")
+
+
+@query
+def product_popularity(s: Source) -> DataFrame:
+    """In two loads: a state at the end of 1999, and the sales after it."""
+    sales = s.stored("fact_sales")
+    early, late = sales.where("purchase_time_key <= 19991231"), sales.where("purchase_time_key > 19991231")
+    state = insights.popularity_of(early, "1999-12-31")
+    path = shared_dir(s.spark, "popularity")
+    state.write.parquet(path)
+    now = insights.advance_popularity(s.spark.read.parquet(path), "1999-12-31", late, "2001-08-31")
+    return _rounded(now, "popularity")
+
+
+@query
+def seller_reputation(s: Source) -> DataFrame:
+    t = _stored(s, "fact_sales", "fact_reviews", "dim_product")
+    scores = insights.seller_scores(t["fact_sales"], t["fact_reviews"], t["dim_product"])
+    names = ("mean_score", "category_mean", "own_weight", "reputation")
+    return _rounded(insights.seller_reputation(scores), *names)
+
+
+# --- catalog ---
+
+
+def _by_order(s: Source) -> dict[str, DataFrame]:
+    """Cleaned entities as catalog tables, bucketed by order."""
+    rows = {n: s.clean(n) for n in ("orders", "order_items", "order_payments")}
+    own, buckets = uuid.uuid4().hex[:12], catalog.buckets_for(*rows.values())
+    return {
+        n: catalog.save_bucketed(df, "default", f"{n}_{own}", ["order_id"], buckets, shared_dir(s.spark, n))
+        for n, df in rows.items()
+    }
+
+
+@query
+def catalog_payments_by_order(s: Source) -> DataFrame:
+    """fact_payments from bucketed catalog tables."""
+    tables = _by_order(s)
+    return facts.fact_payments(tables["orders"], tables["order_payments"])
+
+
+@query
+def catalog_lines_by_order(s: Source) -> DataFrame:
+    """Lines of each order, grouped and joined to it, from bucketed catalog tables."""
+    tables = _by_order(s)
+    orders = tables["orders"].select("order_id", "customer_id", "order_status")
+    lines = facts.order_lines(tables["order_items"])
+    return lines.join(orders, "order_id")
+
+
 # --- change feed and streaming ---
 
 
