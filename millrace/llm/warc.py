@@ -94,21 +94,23 @@ def audit(original: DataFrame, replica: DataFrame, fanout: int = 16, **options)
     a, b = (written(x, "leaves") for x in (original, replica))
     up, down = tree(a, fanout=fanout, **options), tree(b, fanout=fanout, **options)
     up, down = ([written(x, "nodes") for x in levels] for levels in (up, down))
-    differing = _differing(up[-1], down[-1], ["archive", "node"])
+    # Stored level by level: each is read for both copies, and plans would double with every level.
+    differing = written(_differing(up[-1], down[-1], ["archive", "node"]), "differing")
     for own, other in zip(reversed(up[:-1]), reversed(down[:-1]), strict=True):
         parents = differing.select("archive", F.col("node").alias("parent"))
         inside = [
             x.withColumn("parent", F.expr(f"node div {fanout}")).join(parents, ["archive", "parent"], "left_semi")
             for x in (own, other)
         ]
-        differing = _differing(*inside, ["archive", "node"])
+        differing = written(_differing(*inside, ["archive", "node"]), "differing")
     width = options.get("range_bytes", 1 << 16)
     suspect = [
         x.withColumn("node", F.expr(f"offset div {width}")).join(differing, ["archive", "node"], "left_semi")
         for x in (a, b)
     ]
     left, right = (
-        x.groupBy("archive", "offset", "digest").agg(F.min("record_id").alias("record_id")) for x in suspect
+        written(x.groupBy("archive", "offset", "digest").agg(F.min("record_id").alias("record_id")), "suspect")
+        for x in suspect
     )
     only_left = left.join(right, ["archive", "offset", "digest"], "left_anti")
     only_right = right.join(left, ["archive", "offset", "digest"], "left_anti")
