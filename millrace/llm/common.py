@@ -79,6 +79,37 @@ def written(df: DataFrame, purpose: str, partition_by: str | None = None) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one operator in the shared folder, given back when they are done with.
+
+    A table may be freed once all that is computed from it is stored; the operator knows when.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def store(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = shared_dir(self.spark, purpose)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(out)] = (out, path)
+        return out
+
+    def free(self, *tables: DataFrame) -> None:
+        for table in tables:
+            _, path = self._paths.pop(id(table))
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        # Spark removes shuffle files when the driver's collector finds that their jobs are gone,
+        # which a driver with memory to spare does late.
+        self.spark._jvm.System.gc()
+
+    def free_all_but(self, *tables: DataFrame) -> None:
+        kept = {id(t) for t in tables}
+        self.free(*[t for key, (t, _) in list(self._paths.items()) if key not in kept])
+
+
 def _without(raw: bytes, spans) -> bytes:
     at, parts = 0, []
     for span in spans:
@@ -122,7 +153,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Every round is written to the shared folder; a lost executor costs no more than its round.
     Nodes without an edge to another node are not in the result. No edges: no rows.
     """
-    edges = written(edges.where("src <> dst").distinct(), "edges")
+    scratch = Scratch(edges.sparkSession)
+    edges = scratch.store(edges.where("src <> dst").distinct(), "edges")
     before = None
     for _ in range(rounds):
         arcs = _both_ways(edges)
@@ -141,7 +173,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             .where("src <> dst")
             .distinct()
         )
-        edges = written(star, "edges")
+        earlier, edges = edges, scratch.store(star, "edges")
+        scratch.free(earlier)
         now = tuple(
             edges.agg(
                 F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))
