@@ -109,8 +109,10 @@ def links(prints: DataFrame, distance: int = 4) -> DataFrame:
     Each pair comes once, from the first variant that both share, although the join meets it in
     several. Large groups under one variant are split by adaptive execution on both sides.
     """
-    index = variants(prints.select("fp").distinct(), distance)
-    a, b = index.alias("a"), index.alias("b")
+    # Stored, and joined by sorting: in files the index is a small part of its size in memory, and
+    # Spark would broadcast it for that.
+    index = written(variants(prints.select("fp").distinct(), distance), "variants")
+    a, b = index.alias("a"), index.alias("b").hint("merge")
     x = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
     on = (
         (F.col("a.variant") == F.col("b.variant"))
