@@ -12,8 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import any_changed, version_key
-from millrace.session import fits_broadcast, stored
+from millrace.functions.columns import any_changed, packed_key, version_key
+from millrace.session import fits_broadcast, may_broadcast, stored
 
 # Fixed value: start of validity of the versions of a first load.
 FIRST_EFFECTIVE = "1900-01-01 00:00:00"
@@ -126,6 +126,10 @@ HOT_ROWS = 5_000_000
 # Candidates per fact, on average over the keys, up to which they are looked up.
 FEW_VERSIONS = 8
 MOST_SLICES = 256
+# Counted versions up to which a dimension is broadcast: some 100 MB in memory at most.
+BROADCAST_VERSIONS = 500_000
+# Versions of any one key up to which they are attached to facts as a list.
+MOST_LISTED = 32
 
 
 def asof_join(
@@ -148,15 +152,22 @@ def asof_join(
     version is carried forward; no row is made beyond these. Keys of more than ``hot_rows`` rows
     are split into time ranges, each of which is handed the version that was last before it.
     ``auto`` looks up what Spark would broadcast, or what has few versions a key, and carries
-    otherwise; to know that it counts the versions.
+    otherwise; to know that it counts the versions. Few in all are broadcast, as their number is
+    known then, unless the session turns broadcasts off.
     """
     marks = {c: f"_v_{c}" for c in (*on.values(), "effective_date", "expiry_date")}
     versions = dimension.select(
         *[F.col(c).alias(alias) for c, alias in marks.items()], *[F.col(c) for c in take]
     )
     if plan == "auto":
-        keys = [F.col(marks[k]) for k in on.values()]
-        plan = "lookup" if fits_broadcast(versions) or _few_versions(versions, keys) else "carry"
+        if fits_broadcast(versions):
+            plan = "lookup"
+        else:
+            keys = [F.col(marks[k]) for k in on.values()]
+            n, few = _few_versions(versions, keys)
+            plan = "lookup" if few else "carry"
+            if few and n <= BROADCAST_VERSIONS and may_broadcast(versions):
+                versions = F.broadcast(versions)
     if plan == "carry":
         return _carried(facts, versions, on, at, take, hot_rows)
     if plan != "lookup":
@@ -170,11 +181,37 @@ def asof_join(
     return facts.join(versions, valid, "left").drop(*marks.values())
 
 
-def _few_versions(versions: DataFrame, keys: Sequence[Column]) -> bool:
+def _few_versions(versions: DataFrame, keys: Sequence[Column]) -> tuple[int, bool]:
+    """The number of versions, and whether keys have few of them on average."""
     counted = versions.agg(
         F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.struct(*keys)).alias("keys")
     ).first()
-    return counted["n"] <= FEW_VERSIONS * max(1, counted["keys"])
+    return counted["n"], counted["n"] <= FEW_VERSIONS * max(1, counted["keys"])
+
+
+def listable(dimension: DataFrame, key: str) -> bool:
+    """Whether no key has more versions than ``with_versions`` should list."""
+    counts = dimension.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return (counts.agg(F.max("n")).first()[0] or 0) <= MOST_LISTED
+
+
+def with_versions(facts: DataFrame, dimension: DataFrame, fact_key: str, key: str, surrogate: str, name: str) -> DataFrame:
+    """Add ``name``, the list of all versions of each fact's key, of which ``valid_keys`` picks by
+    time. So facts can be brought to a dimension before the time they need is joined to them.
+    """
+    version = F.struct(
+        F.col("effective_date").alias("since"), F.col("expiry_date").alias("until"), packed_key(surrogate).alias("key")
+    )
+    lists = dimension.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_v_key")).agg(F.collect_list(version).alias(name))
+    return facts.join(lists, F.col(fact_key) == F.col("_v_key"), "left").drop("_v_key")
+
+
+def valid_keys(versions: str, at: str) -> Column:
+    """Packed surrogates of the listed versions that are valid at ``at``; one at most, unless they overlap."""
+    valid = F.filter(
+        versions, lambda v: (F.col(at) >= v["since"]) & ((F.col(at) < v["until"]) | v["until"].isNull())
+    )
+    return F.transform(valid, lambda v: v["key"])
 
 
 def _carried(

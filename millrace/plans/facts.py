@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import date_key, hash_key
+from millrace.functions.columns import date_key, hash_key, packed_key, unpacked_key
 from millrace.operators.merge import merge_into
-from millrace.operators.scd import asof_join
+from millrace.operators.scd import asof_join, listable, valid_keys, with_versions
 
 # Natural keys by which a re-run merges each fact. A line of sales is known by what exists before
 # any dimension is looked up: its surrogate keys are NULL, or change, when a dimension comes late.
@@ -46,18 +46,23 @@ def _item_number() -> Column:
     return F.coalesce(F.col("order_item_id").try_cast("int"), F.lit(2**31 - 1))
 
 
-def order_lines(items: DataFrame) -> DataFrame:
-    """One row per order, product and seller; the price is that of the lowest item number.
+def _line_values() -> list[Column]:
+    """Measures of the lines of one order, product and seller; the price is that of the lowest item number.
 
     Items of one number are ranked by price. The rank is a single decimal, not a
     struct, which keeps the aggregation hash-based.
     """
     rank = _item_number().cast("decimal(10,0)") * F.lit(10**12).cast("decimal(13,0)") + F.col("price")
-    return items.groupBy("order_id", "product_id", "seller_id").agg(
+    return [
         F.count("order_item_id").alias("quantity"),
         F.min_by("price", rank).alias("sale_price"),
         F.sum("freight_value").alias("freight_value"),
-    )
+    ]
+
+
+def order_lines(items: DataFrame) -> DataFrame:
+    """One row per order, product and seller."""
+    return items.groupBy("order_id", "product_id", "seller_id").agg(*_line_values())
 
 
 def order_payments(payments: DataFrame) -> DataFrame:
@@ -93,29 +98,61 @@ def sales_lines(
     dim_seller: DataFrame,
     dim_product: DataFrame,
 ) -> DataFrame:
-    """fact_sales with the line's product_id and seller_id, as it is stored and merged."""
+    """fact_sales with the line's product_id and seller_id, as it is stored and merged.
+
+    Lines are shuffled twice, while they are narrow: to the versions of their products, which they
+    take along as a list, and to their orders. There they are grouped, which needs no shuffle of its
+    own, as rows of one order are together; a hot order is still split by the join. The
+    result lies by order, so that what groups it by order combines before it shuffles.
+    """
     purchased = "order_purchase_timestamp"
     delivered = "order_delivered_customer_date"
+    due = "order_estimated_delivery_date"
     of_order = asof_join(
-        orders, dim_customer, {"customer_id": "customer_id"}, purchased, ["customer_key"], plan="auto"
-    ).select(
-        "order_id",
-        "customer_key",
+        orders.select("order_id", "customer_id", "order_status", purchased, delivered, due),
+        dim_customer,
+        {"customer_id": "customer_id"},
         purchased,
-        date_key(purchased).alias("purchase_time_key"),
-        date_key(delivered).alias("delivery_time_key"),
-        hash_key("order_status").alias("status_key"),
-        F.when(F.col("order_status") == "canceled", 1).otherwise(0).alias("is_canceled"),
-        F.datediff(delivered, "order_estimated_delivery_date").alias("delivery_delay_days"),
+        ["customer_key"],
+        plan="auto",
+    )
+    # Rows of one order_id are told apart, so that a repeated one repeats its lines, as a join does.
+    attributes = ["_order", "customer_key", "order_status", purchased, delivered, due]
+    of_order = of_order.withColumn("customer_key", packed_key("customer_key")).withColumn(
+        "_order", F.monotonically_increasing_id()
     )
-    lines = order_lines(items).join(of_order, "order_id")
+    items = items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
+    keys = ["order_id", "product_id", "seller_id", *attributes]
+    listed = listable(dim_product, "product_id")
+    if listed:
+        items = with_versions(items, dim_product, "product_id", "product_id", "product_key", "_versions")
+    lines = items.join(of_order.select("order_id", *attributes), "order_id")
+    if listed:
+        lines = lines.withColumn("_products", valid_keys("_versions", purchased)).groupBy(*keys, "_products")
+        lines = lines.agg(*_line_values()).withColumn("product_key", F.explode_outer("_products"))
+        lines = lines.withColumn("product_key", unpacked_key("product_key"))
+    else:
+        lines = asof_join(
+            lines.groupBy(*keys).agg(*_line_values()),
+            dim_product,
+            {"product_id": "product_id"},
+            purchased,
+            ["product_key"],
+            plan="auto",
+        )
     lines = asof_join(
         lines, dim_seller, {"seller_id": "seller_id"}, purchased, ["seller_key"], plan="auto"
     )
-    lines = asof_join(
-        lines, dim_product, {"product_id": "product_id"}, purchased, ["product_key"], plan="auto"
+    lines = lines.select(
+        "*",
+        date_key(purchased).alias("purchase_time_key"),
+        date_key(delivered).alias("delivery_time_key"),
+        hash_key("order_status").alias("status_key"),
+        F.when(F.col("order_status") == "canceled", 1).otherwise(0).alias("is_canceled"),
+        F.datediff(delivered, due).alias("delivery_delay_days"),
+        (F.col("sale_price") * F.col("quantity")).alias("total_value"),
     )
-    lines = lines.withColumn("total_value", F.col("sale_price") * F.col("quantity"))
+    lines = lines.withColumn("customer_key", unpacked_key("customer_key"))
     return lines.select(*SALES_COLUMNS, "product_id", "seller_id")
 
 
@@ -202,6 +239,13 @@ def fact_shipment(
     )
 
 
-def merge_fact(name: str, held: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Merge a recomputed fact (sales: its lines) by its natural key."""
-    return merge_into(held, fresh, FACT_KEYS[name])
+def merge_fact(name: str, held: DataFrame, fresh: DataFrame, unique: bool = False) -> DataFrame:
+    """Merge a recomputed fact (sales: its lines) by its natural key; surrogates are shuffled packed.
+
+    unique: ``fresh`` is known to have one row per key.
+    """
+    natural = FACT_KEYS[name]
+    keys = [c for c, kind in held.dtypes if c.endswith("_key") and kind == "string" and c not in natural]
+    packed = [df.withColumns({c: packed_key(c) for c in keys if c in df.columns}) for df in (held, fresh)]
+    merged = merge_into(*packed, natural, unique=unique)
+    return merged.withColumns({c: unpacked_key(c) for c in keys})

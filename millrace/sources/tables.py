@@ -77,7 +77,8 @@ class SnapshotTable:
         """Write the next snapshot. ``tag`` names the write, so a replay can be recognised."""
         version = max(self.snapshots(), default=0) + 1
         folder = self._folder(version, tag)
-        writer = df.write.mode("overwrite")
+        # Surrogates are digests in hexadecimal, which only a codec with entropy coding makes smaller.
+        writer = df.write.mode("overwrite").option("compression", "zstd")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(folder)
