@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import any_changed
-from millrace.session import fits_broadcast
+from millrace.session import fits_broadcast, stored
 
 ACTION = "_action"
 
@@ -90,6 +90,26 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], **options)
     return merge_into(target, source, keys, **options).drop(ACTION)
 
 
+def replace_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
+    """All rows of ``source``, and the rows of ``target`` whose key it lacks; the target's columns.
+
+    An upsert of whole rows without the action column. Only keys are shuffled: those that the
+    source lacks are found first, and the target's rows are picked by them. Both sides are read
+    twice, so they should be stored ones. Keys are compared null-safe; ``unique`` as for ``merge_into``.
+    """
+    names = [f"_s_{k}" for k in keys]
+
+    def renamed(rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)])
+
+    on = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)])
+    # Stored, mostly without rows: so Spark knows their number and need not shuffle the target for them.
+    lacked = stored(target.select(*keys).join(renamed(source), on, "left_anti"), "lacked-keys")
+    kept = target.join(renamed(lacked), on, "left_semi")
+    given = source if unique else source.where(_checked_unique(source, keys))
+    return given.select(*target.columns).unionByName(kept)
+
+
 def sync_snapshot(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Merge a complete snapshot: target rows that it lacks become inactive."""
     return merge_into(target, source, keys, absent={"is_active": False})

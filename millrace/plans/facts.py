@@ -239,13 +239,10 @@ def fact_shipment(
     )
 
 
-def merge_fact(name: str, held: DataFrame, fresh: DataFrame, unique: bool = False) -> DataFrame:
-    """Merge a recomputed fact (sales: its lines) by its natural key; surrogates are shuffled packed.
-
-    unique: ``fresh`` is known to have one row per key.
-    """
+def merge_fact(name: str, held: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Merge a recomputed fact (sales: its lines) by its natural key; surrogates are shuffled packed."""
     natural = FACT_KEYS[name]
     keys = [c for c, kind in held.dtypes if c.endswith("_key") and kind == "string" and c not in natural]
     packed = [df.withColumns({c: packed_key(c) for c in keys if c in df.columns}) for df in (held, fresh)]
-    merged = merge_into(*packed, natural, unique=unique)
+    merged = merge_into(*packed, natural)
     return merged.withColumns({c: unpacked_key(c) for c in keys})
