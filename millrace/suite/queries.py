@@ -850,6 +850,8 @@ def ml_report_stored(s: Source) -> DataFrame:
     """Report and ROC area of a stored model over its test part."""
     _, test = model.split(model.complete_rows(_training_features(s)))
     scored = _stored_weights(s).predict(test).select("label", F.round("score", 9).alias("score"))
+    # Two numbers a row are stored; the area and the report read them, and no feature is made twice.
+    scored = stored(scored, "scored")
     area = evaluation.roc_auc(scored).select("roc_auc").scalar()
     return evaluation.classification_report(scored, 0.5).select("*", area.alias("roc_auc"))
 
