@@ -568,7 +568,7 @@ def agg_confusion_matrix(s: Source) -> DataFrame:
 @query
 def union_all(s: Source) -> DataFrame:
     """The two parts of the split, put together again."""
-    train, test = model.split(_training_features(s))
+    train, test = model.split(_kept_features(s))
     return train.unionByName(test).select("order_id", "review_score", "label")
 
 
@@ -776,6 +776,11 @@ def _training_features(s: Source) -> DataFrame:
     return features.training_features(s.stored("fact_sales"), s.stored("fact_reviews"))
 
 
+def _kept_features(s: Source) -> DataFrame:
+    """The same, stored: for queries that read them in several jobs."""
+    return stored(_training_features(s), "training-features")
+
+
 def _given_scores(s: Source) -> DataFrame:
     """A stand-in for model scores that SQL can repeat."""
     return _training_features(s).withColumn(
