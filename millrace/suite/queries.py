@@ -897,7 +897,7 @@ def ml_train_predict(s: Source) -> DataFrame:
 @query
 def ml_model_report(s: Source) -> DataFrame:
     """Report of a trained model at its chosen threshold, with the area under the ROC curve."""
-    _, predictions = model.train(_training_features(s), shared_dir(s.spark, "model"))
+    _, predictions = model.train(_kept_features(s), shared_dir(s.spark, "model"))
     threshold, _ = evaluation.best_threshold(predictions)
     return evaluation.classification_report(predictions, threshold).select(
         "*",
