@@ -864,7 +864,7 @@ def ml_report_stored(s: Source) -> DataFrame:
 @query
 def score_new_orders_stored(s: Source) -> DataFrame:
     """``score_new_orders`` with a stored model."""
-    sales, training = s.stored("fact_sales"), _training_features(s)
+    sales, training = s.stored("fact_sales"), _kept_features(s)
     alerts_path, weights = shared_dir(s.spark, "alerts"), _stored_weights(s)
     early = sales.where("purchase_time_key <= 20001231")
     first = scoring.score_new_orders(early, training, weights, None, "2001-01-01 06:00:00", 0.5)
@@ -909,7 +909,7 @@ def ml_model_report(s: Source) -> DataFrame:
 @query
 def score_new_orders(s: Source) -> DataFrame:
     """A first run up to the end of 2000 and a second one over all sales, with a saved model."""
-    sales, training = s.stored("fact_sales"), _training_features(s)
+    sales, training = s.stored("fact_sales"), _kept_features(s)
     fitted, _ = model.train(training, shared_dir(s.spark, "model"))
 
     alerts_path = shared_dir(s.spark, "alerts")
