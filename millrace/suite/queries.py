@@ -1006,9 +1006,14 @@ def cdc_bronze_partitions(s: Source) -> DataFrame:
 
 
 def _as_files(s: Source, rows: DataFrame, name: str) -> str:
-    """Write a feed as files, as many as the session's width, which follows the input's size."""
+    """Write a feed as about as many files as the session's width, which follows the input's size.
+
+    Tasks cut their files by row numbers: the messages are not shuffled for that.
+    """
     path = shared_dir(s.spark, name)
-    rows.repartition(int(s.spark.conf.get("spark.sql.shuffle.partitions"))).write.parquet(path)
+    files = int(s.spark.conf.get("spark.sql.shuffle.partitions"))
+    most = max(1, -(-rows.count() // files))
+    rows.write.option("maxRecordsPerFile", most).option("compression", "zstd").parquet(path)
     return path
 
 
