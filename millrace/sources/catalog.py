@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.session import plan_bytes
 
-BUCKET_BYTES = 256 << 20
+# Of the estimated size. A bucket is grouped or sorted by one task, which adaptive execution can't divide.
+BUCKET_BYTES = 64 << 20
 LEAST_BUCKETS = 8
 
 
