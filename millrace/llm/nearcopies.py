@@ -1,10 +1,12 @@
-"""Near copies by exact Jaccard similarity of word shingles, found over prefixes.
-
-Shingles have one order: rare ones by hash, then common ones by hash. Two sets of similarity 0.8
-or more share a shingle among the first n // 5 + 1 of each, whatever the order is; so a join on
-these finds every pair, and the sets of the pairs are compared as a whole. Before that, in
-rounds, every set is compared with a few pivots of its prefix groups only; what these links connect is
-not paired again, so a large group of near copies costs some links for each member.
+"""Near copies by SimHash, each link checked by the exact Jaccard similarity of word shingles.
+
+SimHash fingerprints of the same shingles are linked at a few differing bits (``simhash.links``);
+of each text's links a few are checked on the whole sets. That finds close copies, and dissolves large
+groups of them. Copies of similarity 0.8 may differ in more bits than SimHash can link, so the check is
+completed over prefixes: shingles have one order, rare ones by hash, then common ones by hash. Two sets
+of similarity 0.8 or more share a shingle among the first n // 5 + 1 of each, whatever the order is; so a
+join on these finds every pair that isn't connected yet. While that would be many pairs, in rounds, every
+set is first compared with a few pivots of its prefix groups only.
 """
 
 from __future__ import annotations
@@ -16,7 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Scratch, col, components, fresh, release_memory, text_key, text_of, written
+from millrace.llm import simhash
+from millrace.llm.common import Scratch, col, components, fresh, may_be_in, release_memory, text_key, text_of, written
 from millrace.llm.simhash import shingle_hashes
 
 SIZE = 5  # words of a shingle
@@ -24,13 +27,18 @@ SEED = 42
 SAMPLE = 16  # one text of so many is counted to find common shingles
 COMMON_SHARE = 2000  # a shingle is common if more than one sampled text in so many has it
 COMMON_LEAST = 20
-PIVOTS = 3  # of each prefix shingle, in a round
-ROUNDS = 4  # at most, before what is left is paired
+DISTANCE = 4  # differing bits of linked fingerprints
+PIVOTS = 3  # of each prefix shingle, in a round; of each fingerprint's links
+ROUNDS = 4  # at most, of fingerprints and then of pivots, before what is left is paired
+FEW_PAIRS = 8  # for each prefix shingle of a set, up to which what is left is paired at once
 
 
 def shingle_set(text: str, size: int = SIZE) -> np.ndarray:
     """Distinct shingle hashes of a text, in order; a text of fewer words is one shingle."""
-    blocks = list(shingle_hashes(text, size, SEED))
+    return _distinct(list(shingle_hashes(text, size, SEED)))
+
+
+def _distinct(blocks: list[np.ndarray]) -> np.ndarray:
     return np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, dtype=np.uint64)
 
 
@@ -39,25 +47,25 @@ def is_near(a: Column, b: Column, common: Column) -> Column:
     return 9 * common >= 4 * (a + b)
 
 
-def _set_column(texts: DataFrame, size: int) -> DataFrame:
-    """(text_key, shingles) of (text_key, text)."""
+def _set_column(texts: DataFrame, size: int, key: str) -> DataFrame:
+    """(key, shingles) of (key, text)."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for k in range(0, len(batch), 500):
                 part = batch[k : k + 500]
                 sets = [shingle_set(t, size).view(np.int64) for t in part["text"]]
-                yield pd.DataFrame({"text_key": part["text_key"].to_numpy(), "shingles": sets})
+                yield pd.DataFrame({key: part[key].to_numpy(), "shingles": sets})
         release_memory()
 
-    return texts.mapInPandas(work, "text_key binary, shingles array<long>")
+    return texts.select(key, "text").mapInPandas(work, f"{key} {dict(texts.dtypes)[key]}, shingles array<long>")
 
 
 def common_shingles(texts: DataFrame, size: int, scratch: Scratch) -> np.ndarray:
     """Hashes, in order, of shingles that many texts of a sample have. They only change the order
     of prefixes, so a shingle missed here costs candidates and no result."""
     chosen = texts.where(F.pmod(F.xxhash64("text_key"), F.lit(SAMPLE)) == 0).dropDuplicates(["text_key"])
-    sets = scratch.store(_set_column(chosen, size), "sample")
+    sets = scratch.store(_set_column(chosen, size, "text_key"), "sample")
     least = max(COMMON_LEAST, sets.count() // COMMON_SHARE)
     counts = sets.select(F.explode("shingles").alias("key")).groupBy("key").count()
     rows = counts.where(F.col("count") > least).select("key").toPandas()["key"]
@@ -66,14 +74,16 @@ def common_shingles(texts: DataFrame, size: int, scratch: Scratch) -> np.ndarray
 
 
 def _with_prefix(texts: DataFrame, common: np.ndarray, size: int) -> DataFrame:
-    """(text_key, doc_id, node, n, prefix): node is a 64-bit hash of the whole set."""
+    """(text_key, doc_id, node, fp, n, prefix): node is a 64-bit hash of the whole set."""
     import xxhash
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            nodes, sizes, prefixes = [], [], []
+            nodes, prints, sizes, prefixes = [], [], [], []
             for text in batch["text"]:
-                own = shingle_set(text, size)
+                blocks = list(shingle_hashes(text, size, SEED))
+                prints.append(simhash.fingerprint_of_hashes(blocks))
+                own = _distinct(blocks)
                 last = np.isin(own, common, assume_unique=True)
                 order = np.concatenate((own[~last], own[last]))
                 nodes.append(xxhash.xxh3_64_intdigest(own.tobytes()))
@@ -81,11 +91,12 @@ def _with_prefix(texts: DataFrame, common: np.ndarray, size: int) -> DataFrame:
                 prefixes.append(order[: len(own) // 5 + 1].view(np.int64))
             out = batch.drop(columns="text")
             out["node"] = np.array(nodes, dtype=np.uint64).view(np.int64)
+            out["fp"] = np.array(prints, dtype=np.uint64).view(np.int64)
             out["n"], out["prefix"] = sizes, prefixes
             yield out
         release_memory()
 
-    return texts.mapInPandas(work, "doc_id string, text_key binary, node long, n int, prefix array<long>")
+    return texts.mapInPandas(work, "doc_id string, text_key binary, node long, fp long, n int, prefix array<long>")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, scratch: Scratch) -> DataFrame:
@@ -94,11 +105,14 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, s
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = scratch.store(nodes.join(ends, "node"), "wanted")
     # One row of each text, found by its first id; only rows equal in id and text are told apart by a shuffle.
-    own = wanted.select("text_key", F.col("doc_id").alias("first_id"), "several")
-    same = texts.join(own.withColumnRenamed("text_key", "own_key"), F.expr("text_key = own_key AND doc_id <=> first_id"))
-    found = same.where("NOT several").select("text_key", "text")
-    found = found.union(same.where("several").select("text_key", "text").dropDuplicates(["text_key"]))
-    sets = scratch.store(_set_column(found, size).join(wanted.select("text_key", "node"), "text_key").select("node", "shingles"), "sets")
+    own = wanted.select("node", F.col("text_key").alias("own_key"), F.col("doc_id").alias("first_id"), "several")
+    chosen = texts.where(may_be_in(wanted, "text_key")(F.col("text_key")))
+    same = chosen.join(own, F.expr("text_key = own_key AND doc_id <=> first_id"))
+    found = same.select("node", "text")
+    if not wanted.where("several").isEmpty():
+        found = same.where("NOT several").select("node", "text")
+        found = found.union(same.where("several").select("node", "text").dropDuplicates(["node"]))
+    sets = scratch.store(_set_column(found, size, "node"), "sets")
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
@@ -128,41 +142,40 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     texts = own.select("doc_id", "text_key", "text")
     scratch = Scratch(docs.sparkSession)
     prints = scratch.store(_with_prefix(own, common_shingles(texts, size, scratch), size), "prints")
-    one = prints.groupBy("node").agg(F.first(F.struct("text_key", "n", "prefix")).alias("p"))
+    one = prints.groupBy("node").agg(F.first(F.struct("text_key", "fp", "n", "prefix")).alias("p"))
     classes = scratch.store(one.select("node", "p.*"), "classes")
     rows = scratch.store(prints.select("doc_id", "text_key", "node"), "rows")
     nodes = scratch.store(_first_rows(rows, classes.select("node", "text_key")), "nodes")
     scratch.free(prints)
 
-    keys = classes.select("node", "n", F.explode("prefix").alias("key"))
-    # Stored, so that the join is between two plain shuffles, and hot keys can be split.
-    shared = scratch.store(keys.groupBy("key").count().where("count > 1").select("key"), "shared")
-    members = scratch.store(keys.join(shared, "key"), "members")
-    scratch.free(classes, shared)
-
-    near, roots = None, None
-    for number in range(ROUNDS):
-        links = _verified(_to_pivots(members, roots, number), nodes, texts, size, scratch)
+    near = _verified(_by_fingerprint(classes.select("node", "fp")), nodes, texts, size, scratch)
+    roots = scratch.store(components(near), "roots")
+    keys = _rooted(classes.select("node", "n", "prefix"), roots).select("node", "n", "root", F.explode("prefix").alias("key"))
+    # Stored, so that the joins are between plain shuffles, and hot keys can be split.
+    members = scratch.store(_unconnected(keys, scratch), "members")
+    scratch.free(classes)
+    for number in range(1, ROUNDS):
+        if _pairs_left(members) <= FEW_PAIRS * members.count():
+            break
+        links = _verified(_to_pivots(members, number), nodes, texts, size, scratch)
         new = links.count()
-        near = links if near is None else near.union(links)
+        near = near.union(links)
         roots = scratch.store(components(near), "roots")
-        # A round that links little: what is left is not near its groups' members, or is few.
-        if new * 100 <= nodes_left(members, roots):
+        before, members = members, scratch.store(_unconnected(_rooted(members.drop("root"), roots), scratch), "members")
+        scratch.free(before)
+        # A round that links little: what is left is not near its groups' members.
+        if new * 100 <= members.agg(F.count_distinct("node")).first()[0]:
             break
 
     # All pairs that share a key and are not connected yet.
-    rooted = scratch.store(_rooted(members, roots), "rooted")
-    scratch.free(members)
-    sides = scratch.store(rooted.groupBy("key", "root").agg(F.max("n").alias("most"), F.min("n").alias("fewest")), "sides")
-    mixed = sides.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    several = scratch.store(sides.join(mixed.select("key"), "key", "left_semi"), "mixed")
-    x, y = several.alias("x"), several.alias("y")
+    sides = scratch.store(members.groupBy("key", "root").agg(F.max("n").alias("most"), F.min("n").alias("fewest")), "sides")
+    x, y = sides.alias("x"), sides.alias("y")
     on = (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root"))
     # Sizes of near sets differ by a fifth at most.
     on = on & (5 * F.col("x.most") >= 4 * F.col("y.fewest")) & (5 * F.col("y.most") >= 4 * F.col("x.fewest"))
     across = scratch.store(x.join(y, on).select("x.key", F.col("x.root").alias("ra"), F.col("y.root").alias("rb")), "across")
-    a = rooted.select("key", F.col("root").alias("ra"), F.col("node").alias("a"), F.col("n").alias("na"))
-    b = rooted.select("key", F.col("root").alias("rb"), F.col("node").alias("b"), F.col("n").alias("nb"))
+    a = members.select("key", F.col("root").alias("ra"), F.col("node").alias("a"), F.col("n").alias("na"))
+    b = members.select("key", F.col("root").alias("rb"), F.col("node").alias("b"), F.col("n").alias("nb"))
     sizes = (5 * F.col("na") >= 4 * F.col("nb")) & (5 * F.col("nb") >= 4 * F.col("na"))
     pairs = across.join(a, ["key", "ra"]).join(b, ["key", "rb"]).where(sizes)
     pairs = pairs.groupBy("a", "na", "b", "nb").agg(F.count("*").alias("c"))
@@ -183,35 +196,54 @@ def _first_rows(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return nodes.join(first.select("text_key", "f.doc_id", "f.several"), "text_key")
 
 
-def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """``members`` with the root of each node so far."""
-    if roots is None:
-        return members.withColumn("root", F.col("node"))
-    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _by_fingerprint(prints: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets whose SimHash fingerprints are linked: for each fingerprint PIVOTS of its
+    links at most, and one set for all that have it. Neighbours in a dense group choose alike."""
+    first = prints.groupBy("fp").agg(F.min("node").alias("first"))
+    equal = prints.join(first, "fp").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    links = simhash.links(prints, DISTANCE)
+    # By masks, as the least of longs needs no sort; a mask undone gives the fingerprint.
+    masks = (0x2545F4914F6CDD1D, 0x5851F42D4C957F2D, 0x14057B7EF767814F)[:PIVOTS]
+    least = links.groupBy("b").agg(*[F.min(F.col("a").bitwiseXOR(F.lit(m))).alias(f"p{k}") for k, m in enumerate(masks)])
+    chosen = F.array_distinct(F.array(*[F.col(f"p{k}").bitwiseXOR(F.lit(m)) for k, m in enumerate(masks)]))
+    pairs = least.select(F.col("b").alias("fp"), F.explode(chosen).alias("other"))
+    pairs = pairs.join(first, "fp").select("other", F.col("first").alias("a"))
+    pairs = pairs.join(first.withColumnRenamed("fp", "other"), "other").select("a", F.col("first").alias("b"))
+    return equal.union(pairs)
+
+
+def _rooted(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """``sets`` with the root of each node so far."""
+    return sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _to_pivots(members: DataFrame, roots: DataFrame | None, number: int) -> DataFrame:
+def _unconnected(keys: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows of ``keys`` whose key joins sets that are not connected."""
+    mixed = keys.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    return keys.join(scratch.store(mixed.select("key"), "mixed"), "key")
+
+
+def _pairs_left(members: DataFrame) -> int:
+    """How many pairs of unconnected groups share a key, each key by itself."""
+    groups = members.groupBy("key", "root").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("*").alias("g"))
+    return int(groups.agg(F.sum(F.expr("cast(g AS decimal(38,0)) * (g - 1)"))).first()[0] or 0) // 2
+
+
+def _to_pivots(members: DataFrame, number: int) -> DataFrame:
     """Pairs (a, b) of a set and a pivot of its keys, PIVOTS at most for a set: those that share
     the most keys of what may be near and is not connected. Every round has other pivots."""
-    rooted = _rooted(members, roots)
     salts = [number * PIVOTS + k for k in range(PIVOTS)]
     pivots = [F.min(F.struct(F.xxhash64("node", F.lit(s)), "node", "n", "root")) for s in salts]
-    chosen = rooted.groupBy("key").agg(F.array_distinct(F.array(*pivots)).alias("pivots"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    chosen = chosen.where("lo <> hi").select("key", "pivots")
-    met = rooted.join(chosen, "key").select("node", "n", "root", F.explode("pivots").alias("p"))
-    met = met.where("root <> p.root").groupBy("node", "n", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"))
+    chosen = members.groupBy("key").agg(F.array_distinct(F.array(*pivots)).alias("pivots"))
+    met = members.join(chosen, "key").select("node", "n", "root", F.explode("pivots").alias("p"))
+    # Sizes of near sets differ by a fifth at most; told before the pairs are shuffled.
+    met = met.where((F.col("root") != F.col("p.root")) & is_near(F.col("n"), F.col("p.n"), F.least("n", "p.n")))
+    met = met.groupBy("node", "n", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"))
     met = met.agg(F.count("*").alias("c")).where(_may_be_near(F.col("n"), F.col("m"), F.col("c")))
     best = met.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("c", "pivot")), False), 1, PIVOTS).alias("best"))
     return best.select(F.col("node").alias("a"), F.explode("best.pivot").alias("b"))
 
 
-def nodes_left(members: DataFrame, roots: DataFrame) -> int:
-    """Sets that share a key with one they are not connected to."""
-    rooted = _rooted(members, roots)
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    return rooted.join(mixed.select("key"), "key", "left_semi").agg(F.count_distinct("node")).first()[0]
-
-
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
     """One row of each group of near copies: that with the smallest doc_id; same columns.
 
@@ -234,13 +266,15 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         ),
         "special",
     )
+    columns = [col(c) for c in docs.columns]
     left = docs.withColumn(own_key, text_key(text_of(text)))
+    marked = may_be_in(special, own_key)(F.col(own_key))
     other = special.withColumnRenamed(own_key, f"{own_key}_")
-    on = (left[own_key] == other[f"{own_key}_"]) & col(doc_id).eqNullSafe(other[own_id])
-    left = left.join(other, on, "left")
-    several = left.where(F.col(own_rows) > 1)
+    on = (F.col(own_key) == F.col(f"{own_key}_")) & col(doc_id).eqNullSafe(other[own_id])
+    joined = left.where(marked).join(other, on, "left")
+    kept = left.where(~marked).select(*columns).union(joined.where(F.col(own_rows).isNull()).select(*columns))
+    if special.where(F.col(own_rows) > 1).isEmpty():
+        return kept
     order = Window.partitionBy(col(doc_id), F.col(own_key)).orderBy(F.lit(1))
-    first = several.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
-    return left.where(F.col(own_rows).isNull()).select(*[col(c) for c in docs.columns]).union(
-        first.select(*[col(c) for c in docs.columns])
-    )
+    first = joined.where(F.col(own_rows) > 1).withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
+    return kept.union(first.select(*columns))

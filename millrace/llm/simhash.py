@@ -8,7 +8,7 @@ the variants finds all candidates, and their whole distance is verified.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -48,8 +48,13 @@ def shingle_hashes(text: str, size: int, seed: int) -> Iterator[np.ndarray]:
 
 def fingerprint_of(text: str, size: int, seed: int) -> int:
     """Unsigned fingerprint of one text."""
+    return fingerprint_of_hashes(shingle_hashes(text, size, seed))
+
+
+def fingerprint_of_hashes(blocks: Iterable[np.ndarray]) -> int:
+    """The same from the blocks of ``shingle_hashes``."""
     ones, total = np.zeros(BITS, dtype=np.int64), 0
-    for h in shingle_hashes(text, size, seed):
+    for h in blocks:
         bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
         total += len(h)

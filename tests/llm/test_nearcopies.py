@@ -73,3 +73,24 @@ def test_odd_rows(spark, odd_docs, odd_rows):
     got = sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect())
     assert kept.columns == ["doc_id", "text"] and got == sorted(keepers(odd_rows))
     assert nearcopies.drop_near_copies(odd_docs.limit(0)).count() == 0
+
+
+def test_fingerprints_come_first(spark, monkeypatch):
+    """Close copies are linked through SimHash, and no rounds over prefixes are needed for them."""
+    asked = []
+    links, pivots = nearcopies.simhash.links, nearcopies._to_pivots
+    monkeypatch.setattr(nearcopies.simhash, "links", lambda *a: asked.append("links") or links(*a))
+    monkeypatch.setattr(nearcopies, "_to_pivots", lambda *a: asked.append("pivots") or pivots(*a))
+    words = [f"w{k}" for k in range(600)]
+    rows = [(k, " ".join([*words[:300], f"v{k}", *words[301:]])) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.doc_id for r in nearcopies.drop_near_copies(df).collect()] == [0]
+    assert asked == ["links"]
+
+
+def test_pivot_rounds_keep_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(nearcopies, "FEW_PAIRS", 0)
+    rows = near_rows(seed=5)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(r.doc_id for r in nearcopies.drop_near_copies(df).collect())
+    assert got == sorted(i for _, i in keepers(rows))
