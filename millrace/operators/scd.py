@@ -189,6 +189,20 @@ def _few_versions(versions: DataFrame, keys: Sequence[Column]) -> tuple[int, boo
     return counted["n"], counted["n"] <= FEW_VERSIONS * max(1, counted["keys"])
 
 
+def few_broadcast(versions: DataFrame) -> DataFrame:
+    """``versions`` with a hint where they are few by count, though Spark takes them for more by their
+    files; without one if the session turns broadcasts off."""
+    if fits_broadcast(versions) or not may_broadcast(versions):
+        return versions
+    return F.broadcast(versions) if versions.count() <= BROADCAST_VERSIONS else versions
+
+
+def join_versions(rows: DataFrame, dimension: DataFrame, key: str, take: Sequence[str | Column]) -> DataFrame:
+    """Left join by surrogate, which ``rows`` hold packed under ``key``, to the columns ``take`` of its version."""
+    versions = dimension.select(packed_key(key).alias("_v_key"), *take)
+    return rows.join(few_broadcast(versions), F.col(key) == F.col("_v_key"), "left").drop("_v_key")
+
+
 def listable(dimension: DataFrame, key: str) -> bool:
     """Whether no key has more versions than ``with_versions`` should list."""
     counts = dimension.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from millrace.functions import cleaning
-from millrace.functions.columns import date_key, exact_mean, hash_key, key_date, rate, ratio
+from millrace.functions.columns import date_key, exact_mean, hash_key, key_date, packed_key, rate, ratio, unpacked_key
 from millrace.ml import evaluation, model, scoring
 from millrace.ml.expression import Weights
 from millrace.operators import dedup, merge, scd
@@ -463,22 +463,17 @@ def join_left_anti(s: Source) -> DataFrame:
 @query
 def join_star(s: Source) -> DataFrame:
     t = _stored(s, *_STAR)
+    keys = ("product_key", "customer_key", "seller_key")
+    lines = t["fact_sales"].select("order_id", *keys, "purchase_time_key", "quantity").withColumns({k: packed_key(k) for k in keys})
+    # Few sellers are broadcast; after the customers' shuffle their key is not carried any further.
+    for name, take in (
+        ("seller", F.col("city_key").alias("seller_city_key")),
+        ("customer", F.col("city_key").alias("customer_city_key")),
+        ("product", F.col("category_key")),
+    ):
+        lines = scd.join_versions(lines, t[f"dim_{name}"], f"{name}_key", [take])
     return (
-        t["fact_sales"]
-        .select(
-            "order_id", "product_key", "customer_key", "seller_key", "purchase_time_key", "quantity"
-        )
-        .join(t["dim_product"].select("product_key", "category_key"), "product_key", "left")
-        .join(
-            t["dim_customer"].select("customer_key", F.col("city_key").alias("customer_city_key")),
-            "customer_key",
-            "left",
-        )
-        .join(
-            t["dim_seller"].select("seller_key", F.col("city_key").alias("seller_city_key")),
-            "seller_key",
-            "left",
-        )
+        lines
         .join(
             t["dim_time"].select(F.col("time_key").alias("purchase_time_key"), "full_date"),
             "purchase_time_key",
@@ -487,8 +482,8 @@ def join_star(s: Source) -> DataFrame:
         .join(t["dim_product_category"], "category_key", "left")
         .select(
             "order_id",
-            "product_key",
-            "seller_key",
+            unpacked_key("product_key").alias("product_key"),
+            unpacked_key("seller_key").alias("seller_key"),
             "quantity",
             "full_date",
             "category_name_en",
