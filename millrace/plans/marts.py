@@ -6,6 +6,8 @@ are first brought to the mart's own keys and aggregated per order, and each
 side's sums are weighted with the other side's row count. That gives the same
 measures, and an order with very many reviews and lines yields no more joined
 rows than the mart has cells for it.
+
+Surrogate keys of facts are shuffled as bytes.
 """
 
 from __future__ import annotations
@@ -15,13 +17,20 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import exact_mean, key_date, rate, ratio
+from millrace.functions.columns import exact_mean, key_date, packed_key, rate, ratio, unpacked_key
+from millrace.operators.scd import join_versions
 
 Tables = Mapping[str, DataFrame]
 
 
-def _geo(dimension: DataFrame, key: str, name: str) -> DataFrame:
-    return dimension.select(key, F.col("city_key").alias(name))
+def _with_city(rows: DataFrame, t: Tables, side: str) -> DataFrame:
+    """Replace the packed key of the side, customer or seller, by the city of that version."""
+    city = F.col("city_key").alias(f"{side}_geo_key")
+    return join_versions(rows, t[f"dim_{side}"], f"{side}_key", [city]).drop(f"{side}_key")
+
+
+def _packed(fact: DataFrame, *keys: str) -> DataFrame:
+    return fact.withColumns({k: packed_key(k) for k in keys})
 
 
 def _dates(dim_time: DataFrame, fact_key: str) -> DataFrame:
@@ -29,7 +38,7 @@ def _dates(dim_time: DataFrame, fact_key: str) -> DataFrame:
 
 
 def _with_category(rows: DataFrame, t: Tables) -> DataFrame:
-    """Attach the category name of the product version.
+    """Attach the category name of the product version, whose key is packed.
 
     Two joins from the fact side, one per stored table: Spark knows the size of
     each, and broadcasts the ones that are small instead of shuffling the fact.
@@ -37,33 +46,34 @@ def _with_category(rows: DataFrame, t: Tables) -> DataFrame:
     names = t["dim_product_category"].select(
         "category_key", F.col("category_name_en").alias("product_category")
     )
-    return rows.join(
-        t["dim_product"].select("product_key", "category_key"), "product_key", "left"
-    ).join(names, "category_key", "left")
+    rows = join_versions(rows, t["dim_product"], "product_key", ["category_key"]).drop("product_key")
+    return rows.join(names, "category_key", "left")
 
 
 def revenue_mart(t: Tables) -> DataFrame:
+    """Lines are shuffled by product, by customer and once by the mart's keys: orders are told apart where
+    these bring a cell's lines together. A cell holds a day's lines of one seller at most."""
     value = F.col("sale_price") + F.col("freight_value")
     sales = t["fact_sales"].select(
         "order_id",
         "customer_key",
         "product_key",
-        F.col("seller_key").alias("fact_seller_key"),
+        "seller_key",
         "purchase_time_key",
         "sale_price",
         "quantity",
         "freight_value",
     )
+    sales = _packed(sales, "customer_key", "product_key", "seller_key")
+    sales = join_versions(sales, t["dim_seller"], "seller_key", [packed_key("seller_key").alias("seller")])
+    sales = _with_category(sales.drop("seller_key"), t)
+    sales = _with_city(sales, t, "customer")
+    cells = ["date", "product_category", "seller", "customer_geo_key"]
     return (
-        _with_category(sales, t)
-        .join(_geo(t["dim_customer"], "customer_key", "customer_geo_key"), "customer_key", "left")
-        .join(
-            t["dim_seller"].select("seller_key"),
-            F.col("fact_seller_key") == F.col("seller_key"),
-            "left",
-        )
-        .join(_dates(t["dim_time"], "purchase_time_key"), "purchase_time_key", "left")
-        .groupBy("date", "product_category", "seller_key", "customer_geo_key")
+        sales.join(_dates(t["dim_time"], "purchase_time_key"), "purchase_time_key", "left")
+        .drop("purchase_time_key", "category_key")
+        .repartition(*cells)
+        .groupBy(*cells)
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
             F.sum(value).alias("total_revenue"),
@@ -72,6 +82,8 @@ def revenue_mart(t: Tables) -> DataFrame:
             exact_mean("sale_price").alias("avg_price"),
             exact_mean("freight_value").alias("avg_freight_value"),
         )
+        .withColumn("seller", unpacked_key("seller"))
+        .withColumnRenamed("seller", "seller_key")
     )
 
 
@@ -96,7 +108,7 @@ def customer_experience_mart(t: Tables) -> DataFrame:
     reviews = (
         _with_category(
             t["fact_reviews"].select(
-                F.col("Order_id").alias("order_id"), "product_key", "time_key", "Review_score"
+                F.col("Order_id").alias("order_id"), packed_key("product_key").alias("product_key"), "time_key", "Review_score"
             ),
             t,
         )
@@ -110,10 +122,9 @@ def customer_experience_mart(t: Tables) -> DataFrame:
             F.count_if(score <= 2).alias("bad"),
         )
     )
+    sold = _packed(t["fact_sales"].select("order_id", "seller_key", "freight_value", "sale_price"), "seller_key")
     lines = (
-        t["fact_sales"]
-        .select("order_id", "seller_key", "freight_value", "sale_price")
-        .join(_geo(t["dim_seller"], "seller_key", "seller_geo_key"), "seller_key", "left")
+        _with_city(sold, t, "seller")
         .groupBy("order_id", "seller_geo_key")
         .agg(
             F.count(F.lit(1)).alias("lines"),
@@ -178,9 +189,8 @@ def logistics_mart(t: Tables) -> DataFrame:
         return ratio(F.sum(F.when(condition, n_lines).otherwise(0)), F.sum(n_lines))
 
     return (
-        shipments.join(purchases, "order_id", "left")
-        .join(_geo(t["dim_customer"], "customer_key", "customer_geo_key"), "customer_key", "left")
-        .join(_geo(t["dim_seller"], "seller_key", "seller_geo_key"), "seller_key", "left")
+        _with_city(_with_city(_packed(shipments, "customer_key", "seller_key"), t, "seller"), t, "customer")
+        .join(purchases, "order_id", "left")
         .groupBy("seller_geo_key", "customer_geo_key", "date")
         .agg(
             mean(taken).alias("avg_delivery_time"),
@@ -198,14 +208,11 @@ def logistics_mart(t: Tables) -> DataFrame:
 def customer_experience_mart_v2(t: Tables) -> DataFrame:
     """Every review once, with the real delay of its order; the seller is that of the shipment."""
     score, delay = F.col("Review_score"), F.col("delivery_delay_days")
-    reviews = _with_category(
-        t["fact_reviews"].select(F.col("Order_id").alias("order_id"), "product_key", "time_key", "Review_score"), t
-    ).join(_dates(t["dim_time"], "time_key"), "time_key", "left")
-    shipments = (
-        t["fact_shipment"]
-        .select("order_id", "seller_key", "delivery_delay_days")
-        .join(_geo(t["dim_seller"], "seller_key", "seller_geo_key"), "seller_key", "left")
-    )
+    reviews = t["fact_reviews"].select(F.col("Order_id").alias("order_id"), "product_key", "time_key", "Review_score")
+    reviews = _with_category(_packed(reviews, "product_key"), t)
+    reviews = reviews.join(_dates(t["dim_time"], "time_key"), "time_key", "left")
+    shipments = t["fact_shipment"].select("order_id", "seller_key", "delivery_delay_days")
+    shipments = _with_city(_packed(shipments, "seller_key"), t, "seller")
     orders = t["fact_sales"].groupBy("order_id").agg(F.sum("freight_value").alias("freight"), F.sum("sale_price").alias("price"))
     return (
         reviews.join(shipments, "order_id", "left")
@@ -228,11 +235,18 @@ def logistics_mart_v2(t: Tables) -> DataFrame:
     """Every shipment once, with the days to the carrier and from there to the customer."""
     purchases = t["fact_sales"].groupBy("order_id").agg(key_date(F.min("purchase_time_key")).alias("date"))
     delay = F.col("delivery_delay_days")
+    shipments = t["fact_shipment"].select(
+        "order_id",
+        "customer_key",
+        "seller_key",
+        "delivered_customer_date",
+        "delivered_carrier_date",
+        "carrier_to_customer_days",
+        "delivery_delay_days",
+    )
     return (
-        t["fact_shipment"]
+        _with_city(_with_city(_packed(shipments, "customer_key", "seller_key"), t, "seller"), t, "customer")
         .join(purchases, "order_id", "left")
-        .join(_geo(t["dim_customer"], "customer_key", "customer_geo_key"), "customer_key", "left")
-        .join(_geo(t["dim_seller"], "seller_key", "seller_geo_key"), "seller_key", "left")
         .groupBy("seller_geo_key", "customer_geo_key", "date")
         .agg(
             exact_mean(F.datediff(key_date("delivered_customer_date"), "date")).alias("avg_delivery_time"),
