@@ -5,8 +5,10 @@ of each text's links a few are checked on the whole sets. That finds close copie
 groups of them. Copies of similarity 0.8 may differ in more bits than SimHash can link, so the check is
 completed over prefixes: shingles have one order, rare ones by hash, then common ones by hash. Two sets
 of similarity 0.8 or more share a shingle among the first n // 5 + 1 of each, whatever the order is; so a
-join on these finds every pair that isn't connected yet. While that would be many pairs, in rounds, every
-set is first compared with a few pivots of its prefix groups only.
+join on these finds every pair that isn't connected yet. What stands before the first shared shingle is in
+one set only, so that a pair needs a shingle early enough in both for what is left to suffice; most sets
+that share but what is common lie too far behind in each other's groups. While that would be many pairs,
+in rounds, every set is first compared with a few pivots of its prefix groups only.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ COMMON_LEAST = 20
 DISTANCE = 4  # differing bits of linked fingerprints
 PIVOTS = 3  # of each prefix shingle, in a round; of each fingerprint's links
 ROUNDS = 4  # at most, of fingerprints and then of pivots, before what is left is paired
-FEW_PAIRS = 8  # for each prefix shingle of a set, up to which what is left is paired at once
+SKETCH = 1024  # bits of a set's sketch
+FEW_PAIRS = 2  # for each prefix shingle of a set, up to which what is left is paired at once
 
 
 def shingle_set(text: str, size: int = SIZE) -> np.ndarray:
@@ -47,6 +50,13 @@ def is_near(a: Column, b: Column, common: Column) -> Column:
     return 9 * common >= 4 * (a + b)
 
 
+def sketch(members: np.ndarray) -> np.ndarray:
+    """SKETCH bits, each whether an odd number of the set's members falls on it. What two sets share cancels
+    out: at most as many bits differ as there are members that only one of the sets has."""
+    odd = np.bincount((members >> np.uint64(32)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _set_column(texts: DataFrame, size: int, key: str) -> DataFrame:
     """(key, shingles) of (key, text)."""
 
@@ -74,12 +84,12 @@ def common_shingles(texts: DataFrame, size: int, scratch: Scratch) -> np.ndarray
 
 
 def _with_prefix(texts: DataFrame, common: np.ndarray, size: int) -> DataFrame:
-    """(text_key, doc_id, node, fp, n, prefix): node is a 64-bit hash of the whole set."""
+    """(text_key, doc_id, node, fp, n, prefix, sketch): node is a 64-bit hash of the whole set."""
     import xxhash
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            nodes, prints, sizes, prefixes = [], [], [], []
+            nodes, prints, sizes, prefixes, sketches = [], [], [], [], []
             for text in batch["text"]:
                 blocks = list(shingle_hashes(text, size, SEED))
                 prints.append(simhash.fingerprint_of_hashes(blocks))
@@ -89,21 +99,27 @@ def _with_prefix(texts: DataFrame, common: np.ndarray, size: int) -> DataFrame:
                 nodes.append(xxhash.xxh3_64_intdigest(own.tobytes()))
                 sizes.append(len(own))
                 prefixes.append(order[: len(own) // 5 + 1].view(np.int64))
+                sketches.append(sketch(own))
             out = batch.drop(columns="text")
             out["node"] = np.array(nodes, dtype=np.uint64).view(np.int64)
             out["fp"] = np.array(prints, dtype=np.uint64).view(np.int64)
-            out["n"], out["prefix"] = sizes, prefixes
+            out["n"], out["prefix"], out["sketch"] = sizes, prefixes, sketches
             yield out
         release_memory()
 
-    return texts.mapInPandas(work, "doc_id string, text_key binary, node long, fp long, n int, prefix array<long>")
+    columns = "doc_id string, text_key binary, node long, fp long, n int, prefix array<long>, sketch array<long>"
+    return texts.mapInPandas(work, columns)
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, scratch: Scratch) -> DataFrame:
     """Of ``pairs`` (a, b) those whose whole sets are near, as (src, dst)."""
-    pairs = scratch.store(pairs.select("a", "b"), "pairs")
+    # Most pairs are told apart by sketches, before their sets are shuffled.
+    for end in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("n").alias(f"n{end}"), F.col("sketch").alias(f"s{end}")), end)
+    differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    pairs = scratch.store(pairs.where(F.col("na") + F.col("nb") >= 9 * differ).select("a", "b"), "pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = scratch.store(nodes.join(ends, "node"), "wanted")
+    wanted = scratch.store(nodes.drop("n", "sketch").join(ends, "node"), "wanted")
     # One row of each text, found by its first id; only rows equal in id and text are told apart by a shuffle.
     own = wanted.select("node", F.col("text_key").alias("own_key"), F.col("doc_id").alias("first_id"), "several")
     chosen = texts.where(may_be_in(wanted, "text_key")(F.col("text_key")))
@@ -122,10 +138,12 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, s
     return near
 
 
-def _may_be_near(n: Column, m: Column, shared: Column) -> Column:
-    """``shared`` counts shingles in both prefixes; all others that the sets share are behind one of them."""
-    rest = [x - F.floor(x / 5) - 1 for x in (n, m)]
-    return is_near(n, m, F.least(shared + F.greatest(*rest), n, m))
+def _may_be_near(n: Column, left: Column, m: Column, left_m: Column) -> Column:
+    """Of sets of ``n`` and ``m`` members that share one which is among the last ``left`` and ``left_m``.
+
+    All that they share is among the last of both from their first shared member on. So near sets pass by
+    that one, if by no other; sizes that differ by over a fifth never do."""
+    return is_near(n, m, F.least(left, left_m))
 
 
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
@@ -142,46 +160,48 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     texts = own.select("doc_id", "text_key", "text")
     scratch = Scratch(docs.sparkSession)
     prints = scratch.store(_with_prefix(own, common_shingles(texts, size, scratch), size), "prints")
-    one = prints.groupBy("node").agg(F.first(F.struct("text_key", "fp", "n", "prefix")).alias("p"))
+    one = prints.groupBy("node").agg(F.first(F.struct("text_key", "fp", "n", "prefix", "sketch")).alias("p"))
     classes = scratch.store(one.select("node", "p.*"), "classes")
     rows = scratch.store(prints.select("doc_id", "text_key", "node"), "rows")
-    nodes = scratch.store(_first_rows(rows, classes.select("node", "text_key")), "nodes")
+    nodes = scratch.store(_first_rows(rows, classes.select("node", "text_key", "n", "sketch")), "nodes")
     scratch.free(prints)
 
     near = _verified(_by_fingerprint(classes.select("node", "fp")), nodes, texts, size, scratch)
     roots = scratch.store(components(near), "roots")
-    keys = _rooted(classes.select("node", "n", "prefix"), roots).select("node", "n", "root", F.explode("prefix").alias("key"))
     # Stored, so that the joins are between plain shuffles, and hot keys can be split.
-    members = scratch.store(_unconnected(keys, scratch), "members")
-    scratch.free(classes)
+    members = scratch.store(_unconnected(_keyed(_rooted(classes.select("node", "n", "prefix"), roots)), scratch), "members")
     for number in range(1, ROUNDS):
         if _pairs_left(members) <= FEW_PAIRS * members.count():
             break
         links = _verified(_to_pivots(members, number), nodes, texts, size, scratch)
         new = links.count()
-        near = near.union(links)
-        roots = scratch.store(components(near), "roots")
-        before, members = members, scratch.store(_unconnected(_rooted(members.drop("root"), roots), scratch), "members")
-        scratch.free(before)
+        roots = scratch.store(components(_stars(roots).union(links)), "roots")
+        # Sets are given their roots before they are spread over their keys, and only those that still have any.
+        left = classes.select("node", "n", "prefix").join(members.select("node").distinct(), "node", "left_semi")
+        left = scratch.store(_rooted(left, roots), "left")
+        before, members = members, scratch.store(_unconnected(_keyed(left), scratch), "members")
+        scratch.free(before, left)
         # A round that links little: what is left is not near its groups' members.
         if new * 100 <= members.agg(F.count_distinct("node")).first()[0]:
             break
 
+    scratch.free(classes)
+
     # All pairs that share a key and are not connected yet.
-    sides = scratch.store(members.groupBy("key", "root").agg(F.max("n").alias("most"), F.min("n").alias("fewest")), "sides")
+    sides = members.groupBy("key", "root").agg(F.max("n").alias("most"), F.min("n").alias("fewest"), F.max("left").alias("left"))
+    sides = scratch.store(sides, "sides")
     x, y = sides.alias("x"), sides.alias("y")
     on = (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root"))
     # Sizes of near sets differ by a fifth at most.
     on = on & (5 * F.col("x.most") >= 4 * F.col("y.fewest")) & (5 * F.col("y.most") >= 4 * F.col("x.fewest"))
+    on = on & _may_be_near(F.col("x.fewest"), F.col("x.left"), F.col("y.fewest"), F.col("y.left"))
     across = scratch.store(x.join(y, on).select("x.key", F.col("x.root").alias("ra"), F.col("y.root").alias("rb")), "across")
-    a = members.select("key", F.col("root").alias("ra"), F.col("node").alias("a"), F.col("n").alias("na"))
-    b = members.select("key", F.col("root").alias("rb"), F.col("node").alias("b"), F.col("n").alias("nb"))
-    sizes = (5 * F.col("na") >= 4 * F.col("nb")) & (5 * F.col("nb") >= 4 * F.col("na"))
-    pairs = across.join(a, ["key", "ra"]).join(b, ["key", "rb"]).where(sizes)
-    pairs = pairs.groupBy("a", "na", "b", "nb").agg(F.count("*").alias("c"))
-    pairs = pairs.where(_may_be_near(F.col("na"), F.col("nb"), F.col("c")))
+    a = members.select("key", F.col("root").alias("ra"), F.col("node").alias("a"), F.col("n").alias("na"), F.col("left").alias("la"))
+    b = members.select("key", F.col("root").alias("rb"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("left").alias("lb"))
+    early = _may_be_near(F.col("na"), F.col("la"), F.col("nb"), F.col("lb"))
+    pairs = across.join(a, ["key", "ra"]).join(b, ["key", "rb"]).where(early).select("a", "b").distinct()
     more = _verified(pairs, nodes, texts, size, scratch)
-    roots = components(near.union(more))
+    roots = components(_stars(roots).union(more))
     found = rows.join(roots, "node", "left")
     found = scratch.store(found.select("doc_id", "text_key", F.coalesce("root", "node").alias("root")), "found")
     scratch.free_all_but(found)
@@ -189,7 +209,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
 
 
 def _first_rows(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text_key, doc_id, several): the first id that a node's text has, and whether it has it twice."""
+    """``nodes`` with (doc_id, several): the first id that a node's text has, and whether it has it twice."""
     same = rows.join(nodes.select("text_key"), "text_key", "left_semi").groupBy("text_key", "doc_id").agg(F.count("*").alias("rows"))
     place = F.struct((F.col("rows") > 1).alias("several"), "doc_id")
     first = same.groupBy("text_key").agg(F.min(place).alias("f"))
@@ -217,29 +237,52 @@ def _rooted(sets: DataFrame, roots: DataFrame) -> DataFrame:
     return sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def _stars(roots: DataFrame) -> DataFrame:
+    """Links that connect what ``roots`` connects."""
+    return roots.select(F.col("node").alias("src"), F.col("root").alias("dst"))
+
+
+def _keyed(sets: DataFrame) -> DataFrame:
+    """A row for each shingle in the prefix of a set; left: members from that one on."""
+    keys = sets.select("node", "n", "root", F.posexplode("prefix").alias("at", "key"))
+    return keys.select("node", "n", "root", "key", (F.col("n") - F.col("at")).alias("left"))
+
+
 def _unconnected(keys: DataFrame, scratch: Scratch) -> DataFrame:
-    """Rows of ``keys`` whose key joins sets that are not connected."""
-    mixed = keys.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    return keys.join(scratch.store(mixed.select("key"), "mixed"), "key")
+    """Rows of ``keys`` whose key may join near sets that are not connected."""
+    # The least set of the key, and a set that is less by a fifth, are the least that any may be near to.
+    ends = [F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("fewest")]
+    early = 9 * F.col("left") >= 4 * (F.col("n") + F.greatest("fewest", F.ceil(4 * F.col("n") / 5)))
+    mixed = scratch.store(keys.groupBy("key").agg(*ends).where("lo <> hi").select("key", "fewest"), "mixed")
+    return keys.join(mixed, "key").where(early).drop("fewest")
 
 
 def _pairs_left(members: DataFrame) -> int:
-    """How many pairs of unconnected groups share a key, each key by itself."""
-    groups = members.groupBy("key", "root").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("*").alias("g"))
-    return int(groups.agg(F.sum(F.expr("cast(g AS decimal(38,0)) * (g - 1)"))).first()[0] or 0) // 2
+    """About how many pairs of unconnected groups share a key early enough, each key by itself.
+
+    Groups of about one size and place in the key are counted as one, so that no pairs are made for it."""
+    sides = members.groupBy("key", "root").agg(F.avg("n").alias("n"), F.max("left").alias("left"))
+    like = [F.round(8 * F.log2("n")).alias("size"), F.floor(36 * (1 - F.col("left") / F.col("n"))).alias("place")]
+    kinds = sides.groupBy("key", *like).agg(F.avg("n").alias("n"), F.avg("left").alias("left"), F.count("*").alias("g"))
+    x, y = kinds.alias("x"), kinds.alias("y")
+    own = (F.col("x.size") == F.col("y.size")) & (F.col("x.place") == F.col("y.place"))
+    near = (F.col("x.key") == F.col("y.key")) & _may_be_near(F.col("x.n"), F.col("x.left"), F.col("y.n"), F.col("y.left"))
+    met = F.col("x.g").cast("decimal(38,0)") * (F.col("y.g") - own.cast("int"))
+    return int(x.join(y, near).agg(F.sum(met)).first()[0] or 0) // 2
 
 
 def _to_pivots(members: DataFrame, number: int) -> DataFrame:
     """Pairs (a, b) of a set and a pivot of its keys, PIVOTS at most for a set: those that share
-    the most keys of what may be near and is not connected. Every round has other pivots."""
+    the most early keys of what may be near and is not connected. Rounds have unlike pivots."""
     salts = [number * PIVOTS + k for k in range(PIVOTS)]
-    pivots = [F.min(F.struct(F.xxhash64("node", F.lit(s)), "node", "n", "root")) for s in salts]
+    # One has the key earliest, so that it has little which the others of a group of copies don't have.
+    rest = [F.lit(0), F.lit(0), F.col("left") - F.col("n")][-PIVOTS:]
+    pivots = [F.max(F.struct(r.alias("rest"), F.xxhash64("node", F.lit(s)).alias("turn"), "node", "n", "root", "left")) for r, s in zip(rest, salts, strict=True)]
     chosen = members.groupBy("key").agg(F.array_distinct(F.array(*pivots)).alias("pivots"))
-    met = members.join(chosen, "key").select("node", "n", "root", F.explode("pivots").alias("p"))
-    # Sizes of near sets differ by a fifth at most; told before the pairs are shuffled.
-    met = met.where((F.col("root") != F.col("p.root")) & is_near(F.col("n"), F.col("p.n"), F.least("n", "p.n")))
-    met = met.groupBy("node", "n", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"))
-    met = met.agg(F.count("*").alias("c")).where(_may_be_near(F.col("n"), F.col("m"), F.col("c")))
+    met = members.join(chosen, "key").select("node", "n", "root", "left", F.explode("pivots").alias("p"))
+    # Told before the pairs are shuffled.
+    met = met.where((F.col("root") != F.col("p.root")) & _may_be_near(F.col("n"), F.col("left"), F.col("p.n"), F.col("p.left")))
+    met = met.groupBy("node", F.col("p.node").alias("pivot")).agg(F.count("*").alias("c"))
     best = met.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("c", "pivot")), False), 1, PIVOTS).alias("best"))
     return best.select(F.col("node").alias("a"), F.explode("best.pivot").alias("b"))
 

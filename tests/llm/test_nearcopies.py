@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import nearcopies
@@ -94,3 +96,20 @@ def test_pivot_rounds_keep_all_pairs(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted(r.doc_id for r in nearcopies.drop_near_copies(df).collect())
     assert got == sorted(i for _, i in keepers(rows))
+
+
+def test_sketches_never_differ_in_more_bits_than_sets(spark):
+    make = random.Random(2)
+    for _ in range(200):
+        a, b = (np.unique(np.array([make.getrandbits(64) for _ in range(make.randint(0, 90))], dtype=np.uint64)) for _ in "ab")
+        b = np.union1d(a[::2], b)
+        bits = np.bitwise_count((nearcopies.sketch(a) ^ nearcopies.sketch(b)).view(np.uint64)).sum()
+        assert bits <= len(np.setxor1d(a, b)) and len(nearcopies.sketch(a)) * 64 == nearcopies.SKETCH
+
+
+def test_pairs_left_counts_kinds(spark):
+    """Groups that stand late under a key can't be near and aren't counted; others are, each pair once."""
+    rows = [(k, 100, k, 1, 100) for k in range(5)] + [(k, 100, k, 1, 82) for k in range(5, 50)] + [(9, 100, 9, 2, 100)]
+    members = spark.createDataFrame(rows, "node long, n int, root long, key long, left int")
+    assert nearcopies._pairs_left(members) == 10
+    assert nearcopies._pairs_left(members.where(F.col("key") == 3)) == 0
