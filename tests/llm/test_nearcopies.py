@@ -98,6 +98,37 @@ def test_pivot_rounds_keep_all_pairs(spark, monkeypatch):
     assert got == sorted(i for _, i in keepers(rows))
 
 
+def edited(copies, seed=3):
+    """One text with up to 20 of its 150 words changed in each row: near the others, at the limit, or behind it."""
+    make = random.Random(seed)
+    words, rows = [f"w{k}" for k in range(150)], []
+    for k in range(copies):
+        own = list(words)
+        for at in make.sample(range(150), make.randint(0, 20)):
+            own[at] = f"v{make.randint(0, 9999)}"
+        rows.append((k, " ".join(own)))
+    return rows
+
+
+def test_large_group_makes_few_pairs(spark, monkeypatch):
+    """Of a group of edited copies only those may be paired whose sets still can be near."""
+    monkeypatch.setattr(nearcopies, "SAMPLE", 1)
+    stored, asked = {}, nearcopies.Scratch.store
+
+    def store(self, df, purpose):
+        out = asked(self, df, purpose)
+        stored.setdefault(purpose, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(nearcopies.Scratch, "store", store)
+    rows = edited(240)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(r.doc_id for r in nearcopies.drop_near_copies(df).collect())
+    want = sorted(i for _, i in keepers(rows))
+    assert got == want and 10 < len(want) < 230
+    assert sum(stored["across"]) < 10 * len(rows) and sum(stored["pairs"]) < 10 * len(rows)
+
+
 def test_sketches_never_differ_in_more_bits_than_sets(spark):
     make = random.Random(2)
     for _ in range(200):
