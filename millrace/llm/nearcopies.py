@@ -32,7 +32,7 @@ COMMON_LEAST = 20
 DISTANCE = 4  # differing bits of linked fingerprints
 PIVOTS = 3  # of each prefix shingle, in a round; of each fingerprint's links
 ROUNDS = 4  # at most, of fingerprints and then of pivots, before what is left is paired
-SKETCH = 1024  # bits of a set's sketch
+SKETCH = 1024  # bits of a set's sketch, at least
 FEW_PAIRS = 2  # for each prefix shingle of a set, up to which what is left is paired at once
 
 
@@ -51,12 +51,28 @@ def is_near(a: Column, b: Column, common: Column) -> Column:
 
 
 def sketch(members: np.ndarray) -> np.ndarray:
-    """SKETCH bits, each whether an odd number of the set's members falls on it. What two sets share cancels
-    out: at most as many bits differ as there are members that only one of the sets has."""
-    odd = np.bincount((members >> np.uint64(32)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1
+    """Bits, each whether an odd number of the set's members falls on it. What two sets share cancels
+    out: at most as many bits differ as there are members that only one of the sets has.
+
+    A power of two of bits, no fewer than members: sets that are much unlike differ in up to half of the
+    bits, which must be more than a ninth of both sets' members to tell them apart."""
+    bits = max(SKETCH, 1 << (max(1, len(members)) - 1).bit_length())
+    odd = np.bincount((members >> np.uint64(32)).astype(np.int64) % bits, minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def _folded(own: Column, other: Column) -> Column:
+    """A sketch in half its bits if it has twice as many as ``other``."""
+    half = F.size(other)
+    return F.when(F.size(own) > half, F.zip_with(F.slice(own, F.lit(1), half), F.slice(own, half + 1, half), lambda x, y: x.bitwiseXOR(y))).otherwise(own)
+
+
+def differing(a: Column, b: Column) -> Column:
+    """In how many bits the sketches of sets differ whose sizes differ by a factor of two at most."""
+    both = F.zip_with(_folded(a, b), _folded(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(both, F.lit(0), lambda x, y: x + y)
+
+
 def _set_column(texts: DataFrame, size: int, key: str) -> DataFrame:
     """(key, shingles) of (key, text)."""
 
@@ -116,8 +132,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, s
     # Most pairs are told apart by sketches, before their sets are shuffled.
     for end in ("a", "b"):
         pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("n").alias(f"n{end}"), F.col("sketch").alias(f"s{end}")), end)
-    differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    pairs = scratch.store(pairs.where(F.col("na") + F.col("nb") >= 9 * differ).select("a", "b"), "pairs")
+    sizes = is_near(F.col("na"), F.col("nb"), F.least("na", "nb"))
+    pairs = pairs.where(sizes & (F.col("na") + F.col("nb") >= 9 * differing(F.col("sa"), F.col("sb"))))
+    pairs = scratch.store(pairs.select("a", "b"), "pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = scratch.store(nodes.drop("n", "sketch").join(ends, "node"), "wanted")
     # One row of each text, found by its first id; only rows equal in id and text are told apart by a shuffle.

@@ -138,6 +138,41 @@ def test_sketches_never_differ_in_more_bits_than_sets(spark):
         assert bits <= len(np.setxor1d(a, b)) and len(nearcopies.sketch(a)) * 64 == nearcopies.SKETCH
 
 
+def test_sketches_tell_long_sets_apart(spark):
+    """Sets of some thousand members that share half of them need no look at the members; no near pair is lost
+    where one sketch has twice the bits of the other."""
+    make = random.Random(4)
+    rows = []
+    for n, m, shared in ((3000, 3000, 2000), (20000, 20000, 13000), (1000, 1100, 990), (2040, 2060, 1850), (4000, 4900, 3960), (90, 80, 80)):
+        members = np.unique(np.array([make.getrandbits(64) for _ in range(n + m - shared)], dtype=np.uint64))
+        make.shuffle(members)
+        a, b = np.sort(members[:n]), np.sort(members[n - shared :])
+        rows.append((n, m, shared, nearcopies.sketch(a).tolist(), nearcopies.sketch(b).tolist()))
+    df = spark.createDataFrame(rows, "n int, m int, shared int, a array<long>, b array<long>")
+    for x, y in (("a", "b"), ("b", "a")):
+        got = df.withColumn("bits", nearcopies.differing(F.col(x), F.col(y)))
+        for r in got.collect():
+            assert r.bits <= r.n + r.m - 2 * r.shared
+            assert (9 * r.bits <= r.n + r.m) == (9 * r.shared >= 4 * (r.n + r.m))
+
+
+def test_long_texts_equal_all_pairs(spark):
+    """Copies with more or fewer edits, of lengths around those at which sketches double."""
+    make = random.Random(9)
+    rows = []
+    for length in (900, 1020, 1980, 2100):
+        words = [f"w{make.randint(0, 99999)}" for _ in range(length)]
+        for k in range(6):
+            own = list(words) + [f"t{make.randint(0, 99999)}" for _ in range(make.randint(0, length // 8))]
+            for at in make.sample(range(length), length * make.randint(0, 5) // 100):
+                own[at] = f"v{make.randint(0, 99999)}"
+            rows.append((len(rows), " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(r.doc_id for r in nearcopies.drop_near_copies(df).collect())
+    want = sorted(i for _, i in keepers(rows))
+    assert got == want and 4 < len(want) < 24
+
+
 def test_pairs_left_counts_kinds(spark):
     """Groups that stand late under a key can't be near and aren't counted; others are, each pair once."""
     rows = [(k, 100, k, 1, 100) for k in range(5)] + [(k, 100, k, 1, 82) for k in range(5, 50)] + [(9, 100, 9, 2, 100)]
