@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import any_changed, packed_key, version_key
+from millrace.functions.columns import any_changed, packed_key, packed_number, unpacked_key, version_key
 from millrace.session import fits_broadcast, may_broadcast, stored
 
 # Fixed value: start of validity of the versions of a first load.
@@ -203,6 +203,28 @@ def join_versions(rows: DataFrame, dimension: DataFrame, key: str, take: Sequenc
     return rows.join(few_broadcast(versions), F.col(key) == F.col("_v_key"), "left").drop("_v_key")
 
 
+def numbered_values(versions: DataFrame, name: str) -> tuple[DataFrame, DataFrame | None]:
+    """``versions`` with numbers in place of the values of ``name``, and the table of these: facts that are
+    shuffled carry a few bytes until ``named_values``. NULL stays NULL. Values that are too many to be
+    broadcast are left as they are, and there is no table."""
+    values = versions.select(name).where(F.col(name).isNotNull()).distinct()
+    if not may_broadcast(versions) or values.count() > BROADCAST_VERSIONS:
+        return versions, None
+    # Stored, so that each reader sees the same numbers; counted, so that one task may number them.
+    number = F.monotonically_increasing_id().cast("int").alias("_number")
+    values = stored(values.coalesce(1).select(F.col(name).alias("_value"), number), "numbers")
+    coded = versions.join(F.broadcast(values), F.col(name) == F.col("_value"), "left")
+    return coded.drop(name, "_value").withColumnRenamed("_number", name), values
+
+
+def named_values(rows: DataFrame, name: str, values: DataFrame | None) -> DataFrame:
+    """``rows`` with the values again that ``numbered_values`` put numbers in place of."""
+    if values is None:
+        return rows
+    named = rows.join(F.broadcast(values), F.col(name) == F.col("_number"), "left")
+    return named.drop(name, "_number").withColumnRenamed("_value", name)
+
+
 def listable(dimension: DataFrame, key: str) -> bool:
     """Whether no key has more versions than ``with_versions`` should list."""
     counts = dimension.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
@@ -212,20 +234,35 @@ def listable(dimension: DataFrame, key: str) -> bool:
 def with_versions(facts: DataFrame, dimension: DataFrame, fact_key: str, key: str, surrogate: str, name: str) -> DataFrame:
     """Add ``name``, the list of all versions of each fact's key, of which ``valid_keys`` picks by
     time. So facts can be brought to a dimension before the time they need is joined to them.
+
+    Facts hold the key by ``packed_number``. Surrogates that ``version_key`` makes of key and start,
+    which the list holds anyway, are left empty in it: facts need not carry digests.
     """
+    made = F.col(surrogate) == version_key(key, F.col("effective_date"))
     version = F.struct(
-        F.col("effective_date").alias("since"), F.col("expiry_date").alias("until"), packed_key(surrogate).alias("key")
+        F.col("effective_date").alias("since"),
+        F.col("expiry_date").alias("until"),
+        F.when(made, F.lit(b"")).otherwise(packed_key(surrogate)).alias("key"),
     )
-    lists = dimension.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_v_key")).agg(F.collect_list(version).alias(name))
+    known = dimension.where(F.col(key).isNotNull())
+    lists = known.groupBy(packed_number(key).alias("_v_key")).agg(F.collect_list(version).alias(name))
     return facts.join(lists, F.col(fact_key) == F.col("_v_key"), "left").drop("_v_key")
 
 
 def valid_keys(versions: str, at: str) -> Column:
-    """Packed surrogates of the listed versions that are valid at ``at``; one at most, unless they overlap."""
+    """Starts and packed surrogates of the listed versions that are valid at ``at``; one at most, unless
+    they overlap."""
     valid = F.filter(
         versions, lambda v: (F.col(at) >= v["since"]) & ((F.col(at) < v["until"]) | v["until"].isNull())
     )
-    return F.transform(valid, lambda v: v["key"])
+    return F.transform(valid, lambda v: F.struct(v["since"].alias("since"), v["key"].alias("key")))
+
+
+def valid_surrogate(version: str, key: str) -> Column:
+    """The surrogate of one of ``valid_keys``; ``key`` is the business key as text."""
+    made = version_key(key, F.col(version)["since"])
+    held = F.col(version)["key"]
+    return F.when(held == F.lit(b""), made).otherwise(unpacked_key(held))
 
 
 def _carried(

@@ -9,9 +9,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import date_key, hash_key, packed_key, unpacked_key
+from millrace.functions.columns import (
+    date_key,
+    hash_key,
+    pack,
+    packed_key,
+    packed_number,
+    unpack,
+    unpacked_key,
+    unpacked_number,
+)
 from millrace.operators.merge import merge_into
-from millrace.operators.scd import asof_join, listable, valid_keys, with_versions
+from millrace.operators.scd import asof_join, listable, valid_keys, valid_surrogate, with_versions
 
 # Natural keys by which a re-run merges each fact. A line of sales is known by what exists before
 # any dimension is looked up: its surrogate keys are NULL, or change, when a dimension comes late.
@@ -40,6 +49,9 @@ SALES_COLUMNS = (
     "freight_value",
 )
 
+# Widths in the shuffles of lines; what does not fit is carried as it is.
+_LINE_BITS = {"price": 28, "freight_value": 24, "order_item_id": 11}
+
 
 def _item_number() -> Column:
     """The item number as a number, last where it is none; change feeds deliver it as text."""
@@ -122,23 +134,25 @@ def sales_lines(
         "_order", F.monotonically_increasing_id()
     )
     items = items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
-    keys = ["order_id", "product_id", "seller_id", *attributes]
+    ids = ["order_id", "product_id", "seller_id"]
+    items = pack(items.withColumns({k: packed_number(k) for k in ids}), _LINE_BITS, "_measures")
+    keys = [*ids, *attributes]
     listed = listable(dim_product, "product_id")
     if listed:
         items = with_versions(items, dim_product, "product_id", "product_id", "product_key", "_versions")
-    lines = items.join(of_order.select("order_id", *attributes), "order_id")
+    of_order = of_order.select(packed_number("order_id").alias("order_id"), *attributes)
+    lines = unpack(items.join(of_order, "order_id"), _LINE_BITS, "_measures")
     if listed:
         lines = lines.withColumn("_products", valid_keys("_versions", purchased)).groupBy(*keys, "_products")
-        lines = lines.agg(*_line_values()).withColumn("product_key", F.explode_outer("_products"))
-        lines = lines.withColumn("product_key", unpacked_key("product_key"))
+        lines = lines.agg(*_line_values()).withColumn("_product", F.explode_outer("_products"))
+    else:
+        lines = lines.groupBy(*keys).agg(*_line_values())
+    lines = lines.withColumns({k: unpacked_number(k) for k in ids})
+    if listed:
+        lines = lines.withColumn("product_key", valid_surrogate("_product", "product_id"))
     else:
         lines = asof_join(
-            lines.groupBy(*keys).agg(*_line_values()),
-            dim_product,
-            {"product_id": "product_id"},
-            purchased,
-            ["product_key"],
-            plan="auto",
+            lines, dim_product, {"product_id": "product_id"}, purchased, ["product_key"], plan="auto"
         )
     lines = asof_join(
         lines, dim_seller, {"seller_id": "seller_id"}, purchased, ["seller_key"], plan="auto"

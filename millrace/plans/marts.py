@@ -17,11 +17,16 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import exact_mean, key_date, packed_key, rate, ratio, unpacked_key
-from millrace.operators.scd import join_versions
+from millrace.functions.columns import exact_mean, key_date, pack, packed_key, packed_number, rate, ratio, unpack, unpacked_key
+from millrace.operators.scd import join_versions, named_values, numbered_values
+from millrace.session import fits_broadcast
 
 Tables = Mapping[str, DataFrame]
 
+# Widths in shuffles of the revenue mart; what does not fit is carried as it is.
+_MEASURE_BITS = {"sale_price": 28, "freight_value": 24, "quantity": 11}
+_CELL_BITS = {"date": 18, "seller": 19, "customer_geo_key": 14, "product_category": 12}
+
 
 def _with_city(rows: DataFrame, t: Tables, side: str) -> DataFrame:
     """Replace the packed key of the side, customer or seller, by the city of that version."""
@@ -51,8 +56,10 @@ def _with_category(rows: DataFrame, t: Tables) -> DataFrame:
 
 
 def revenue_mart(t: Tables) -> DataFrame:
-    """Lines are shuffled by product, by customer and once by the mart's keys: orders are told apart where
-    these bring a cell's lines together. A cell holds a day's lines of one seller at most."""
+    """Lines are shuffled by customer, by product and once by the mart's keys: orders are told apart where
+    these bring a cell's lines together. A cell holds a day's lines of one seller at most.
+
+    By customer first, as facts lie by order: an order's lines stay neighbours, whose like values compress."""
     value = F.col("sale_price") + F.col("freight_value")
     sales = t["fact_sales"].select(
         "order_id",
@@ -65,14 +72,34 @@ def revenue_mart(t: Tables) -> DataFrame:
         "freight_value",
     )
     sales = _packed(sales, "customer_key", "product_key", "seller_key")
-    sales = join_versions(sales, t["dim_seller"], "seller_key", [packed_key("seller_key").alias("seller")])
-    sales = _with_category(sales.drop("seller_key"), t)
-    sales = _with_city(sales, t, "customer")
-    cells = ["date", "product_category", "seller", "customer_geo_key"]
-    return (
-        sales.join(_dates(t["dim_time"], "purchase_time_key"), "purchase_time_key", "left")
-        .drop("purchase_time_key", "category_key")
-        .repartition(*cells)
+    names = t["dim_product_category"].select("category_key", F.col("category_name_en").alias("product_category"))
+    sides = {
+        "seller": ("seller_key", t["dim_seller"].select("seller_key", packed_key("seller_key").alias("seller"))),
+        "customer_geo_key": ("customer_key", t["dim_customer"].select("customer_key", F.col("city_key").alias("customer_geo_key"))),
+        "product_category": ("product_key", t["dim_product"].select("product_key", "category_key").join(names, "category_key", "left")),
+    }
+    # Of a star that Spark broadcasts as it is, lines are shuffled once; numbers would only cost time.
+    wide = not all(fits_broadcast(t[n]) for n in ("dim_customer", "dim_product"))
+    numbers = {}
+    sales = sales.join(_dates(t["dim_time"], "purchase_time_key"), "purchase_time_key", "left").drop("purchase_time_key")
+    if wide:
+        sales = pack(sales.withColumn("order_id", packed_number("order_id")), _MEASURE_BITS, "_measures")
+    known = {}
+    for name, (key, side) in sides.items():
+        if wide:
+            side, numbers[name] = numbered_values(side, name)
+            sales = pack(sales, known, "_cell")
+        sales = join_versions(sales, side, key, [name]).drop(key)
+        if wide:
+            sales = unpack(sales, known, "_cell")
+            known = {c: _CELL_BITS[c] for c in ("date", *numbers)}
+    cells = ["date", *sides]
+    if wide:
+        sales = pack(sales, known, "_cell")
+        cells.append("_cell")
+    sales = sales.repartition(*cells)
+    mart = (
+        (unpack(sales, _MEASURE_BITS, "_measures") if wide else sales)
         .groupBy(*cells)
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
@@ -82,8 +109,14 @@ def revenue_mart(t: Tables) -> DataFrame:
             exact_mean("sale_price").alias("avg_price"),
             exact_mean("freight_value").alias("avg_freight_value"),
         )
-        .withColumn("seller", unpacked_key("seller"))
-        .withColumnRenamed("seller", "seller_key")
+    )
+    measures = [c for c in mart.columns if c not in cells]
+    if wide:
+        mart = unpack(mart, known, "_cell")
+    for name, values in numbers.items():
+        mart = named_values(mart, name, values)
+    return mart.select(
+        "date", "product_category", unpacked_key("seller").alias("seller_key"), "customer_geo_key", *measures
     )
 
 
