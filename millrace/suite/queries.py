@@ -12,13 +12,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from millrace.functions import cleaning
-from millrace.functions.columns import date_key, exact_mean, hash_key, key_date, packed_key, rate, ratio, unpacked_key
+from millrace.functions.columns import (
+    date_key,
+    exact_mean,
+    hash_key,
+    key_date,
+    pack,
+    packed_key,
+    packed_number,
+    rate,
+    ratio,
+    unpack,
+    unpacked_key,
+    unpacked_number,
+)
 from millrace.ml import evaluation, model, scoring
 from millrace.ml.expression import Weights
 from millrace.operators import dedup, merge, scd
 from millrace.plans import dimensions as dims
 from millrace.plans import facts, features, insights, marts
-from millrace.session import plan_bytes, shared_dir, stored
+from millrace.session import fits_broadcast, plan_bytes, shared_dir, stored
 from millrace.sources import catalog, landing, readers
 from millrace.sources.entities import CHANGE_RECORD_DDL
 from millrace.sources.tables import PartitionedTable, SnapshotTable
@@ -460,36 +473,56 @@ def join_left_anti(s: Source) -> DataFrame:
     return s.clean("orders").join(s.order_items().select("order_id"), "order_id", "left_anti")
 
 
+# Widths in shuffles of the star join; what does not fit is carried as it is.
+_STAR_BITS = {"full_date": 18, "quantity": 11, "seller": 19, "customer_city_key": 14}
+
+
 @query
 def join_star(s: Source) -> DataFrame:
     t = _stored(s, *_STAR)
     keys = ("product_key", "customer_key", "seller_key")
     lines = t["fact_sales"].select("order_id", *keys, "purchase_time_key", "quantity").withColumns({k: packed_key(k) for k in keys})
-    # Few sellers are broadcast; after the customers' shuffle their key is not carried any further.
-    for name, take in (
-        ("seller", F.col("city_key").alias("seller_city_key")),
-        ("customer", F.col("city_key").alias("customer_city_key")),
-        ("product", F.col("category_key")),
+    dates = t["dim_time"].select(F.col("time_key").alias("purchase_time_key"), "full_date")
+    lines = lines.join(dates, "purchase_time_key", "left").drop("purchase_time_key")
+    names = t["dim_product_category"].select("category_key", "category_name_en")
+    cities = {n: t[f"dim_{n}"].select(f"{n}_key", F.col("city_key").alias(f"{n}_city_key")) for n in ("customer", "seller")}
+    categories = t["dim_product"].select("product_key", "category_key").join(names, "category_key", "left")
+    # Where lines are shuffled, they carry numbers of sellers and cities; unknown sellers keep their key.
+    wide = not all(fits_broadcast(t[n]) for n in ("dim_customer", "dim_product"))
+    sellers = places = None
+    if wide:
+        lines = lines.withColumn("order_id", packed_number("order_id"))
+        known = t["dim_seller"].select("seller_key", packed_key("seller_key").alias("seller")).distinct()
+        known, sellers = scd.numbered_values(known, "seller")
+        cities["customer"], places = scd.numbered_values(cities["customer"], "customer_city_key")
+    if sellers is not None:
+        lines = scd.join_versions(lines, known, "seller_key", ["seller"])
+        lines = lines.withColumn("seller_key", F.when(F.col("seller").isNull(), F.col("seller_key")))
+    # Customers before products: after their shuffle, their key is not carried any further. Sellers last.
+    for key, side, take in (
+        ("customer_key", cities["customer"], "customer_city_key"),
+        ("product_key", categories, "category_name_en"),
     ):
-        lines = scd.join_versions(lines, t[f"dim_{name}"], f"{name}_key", [take])
-    return (
-        lines
-        .join(
-            t["dim_time"].select(F.col("time_key").alias("purchase_time_key"), "full_date"),
-            "purchase_time_key",
-            "left",
-        )
-        .join(t["dim_product_category"], "category_key", "left")
-        .select(
-            "order_id",
-            unpacked_key("product_key").alias("product_key"),
-            unpacked_key("seller_key").alias("seller_key"),
-            "quantity",
-            "full_date",
-            "category_name_en",
-            "customer_city_key",
-            "seller_city_key",
-        )
+        bits = {c: width for c, width in _STAR_BITS.items() if c in lines.columns}
+        if wide:
+            lines = pack(lines, bits, "_packed")
+        lines = scd.join_versions(lines, side, key, [take])
+        if wide:
+            lines = unpack(lines, bits, "_packed")
+        lines = lines.drop("customer_key")
+    lines = scd.named_values(lines, "customer_city_key", places)
+    if sellers is not None:
+        lines = scd.named_values(lines, "seller", sellers).withColumn("seller_key", F.coalesce("seller", "seller_key"))
+    lines = scd.join_versions(lines, cities["seller"], "seller_key", ["seller_city_key"])
+    return lines.select(
+        unpacked_number("order_id").alias("order_id") if wide else F.col("order_id"),
+        unpacked_key("product_key").alias("product_key"),
+        unpacked_key("seller_key").alias("seller_key"),
+        "quantity",
+        "full_date",
+        "category_name_en",
+        "customer_city_key",
+        "seller_city_key",
     )
 
 

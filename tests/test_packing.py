@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import pack, packed_number, unpack, unpacked_number, version_key
 from millrace.operators import scd
 from millrace.plans import facts, marts
+from millrace.suite import queries
+from tests.conftest import TESTDATA
 from tests.test_mart_shuffles import key, star  # noqa: F401
 from tests.test_sales_lines import tables  # noqa: F401
 from tests.test_skew import final_plan, settings
@@ -83,11 +85,14 @@ def shuffled(df) -> int:
     return total
 
 
-def test_revenue_lines_are_narrow_in_shuffles(spark):
-    """Three shuffles of lines, and the dimensions': 197 bytes a line before columns were packed, 158 with that."""
-    n = 40_000
+LINES = 40_000
+
+
+@pytest.fixture(scope="module")
+def wide_star(spark):
+    """A star of which customers and products are too many to be broadcast under ``counted``."""
     order = F.expr("id div 4")
-    orders = spark.range(n).select(
+    orders = spark.range(LINES).select(
         (order + 1_000_000).cast("string").alias("order_id"),
         F.md5((F.xxhash64(order) % 1500).cast("string")).alias("customer_key"),
         F.md5((F.xxhash64("id") % 1500).cast("string")).alias("product_key"),
@@ -109,12 +114,42 @@ def test_revenue_lines_are_narrow_in_shuffles(spark):
     }
     t = {name: df.localCheckpoint() for name, df in t.items()}
     t |= {name: F.broadcast(t[name]) for name in ("dim_time", "dim_product_category")}
-    # Customers and products are too many to be broadcast.
-    with settings(spark, COUNTED), pytest.MonkeyPatch.context() as m:
-        m.setattr(scd, "BROADCAST_VERSIONS", 1000)
-        mart = marts.build_mart("revenue_mart", t)
-        assert mart.agg(F.sum("total_items_sold")).first()[0] == n
-        assert shuffled(mart) < 175 * n
+    return t
+
+
+@pytest.fixture
+def counted(spark, monkeypatch):
+    monkeypatch.setattr(scd, "BROADCAST_VERSIONS", 1000)
+    with settings(spark, COUNTED):
+        yield
+
+
+def test_revenue_lines_are_narrow_in_shuffles(wide_star, counted):
+    """Three shuffles of lines, and the dimensions': 197 bytes a line before columns were packed, 158 with that."""
+    mart = marts.build_mart("revenue_mart", wide_star)
+    assert mart.agg(F.sum("total_items_sold")).first()[0] == LINES
+    assert shuffled(mart) < 175 * LINES
+
+
+def test_star_lines_are_narrow_in_shuffles(spark, wide_star, counted, monkeypatch):
+    """Two shuffles of lines, and the dimensions': 111 bytes a line before, 84 with packed columns."""
+    monkeypatch.setattr(queries, "_stored", lambda s, *names: wide_star)
+    lines = queries.QUERIES["join_star"](spark, str(TESTDATA))
+    assert lines.where("customer_city_key IS NOT NULL AND seller_city_key = 's' AND category_name_en = 'toys'").count() == LINES
+    assert shuffled(lines) < 100 * LINES
+
+
+@pytest.mark.parametrize("conf", [{}, COUNTED])
+def test_star_keeps_unknown_keys(spark, star, conf, monkeypatch):  # noqa: F811
+    """Sellers that no dimension knows keep their key; the sides of unknown keys are NULL."""
+    monkeypatch.setattr(queries, "_stored", lambda s, *names: star)
+    with settings(spark, conf):
+        rows = queries.QUERIES["join_star"](spark, str(TESTDATA)).collect()
+    got = {(r.order_id, r.product_key, r.seller_key, r.quantity, r.full_date, r.category_name_en, r.customer_city_key, r.seller_city_key) for r in rows}
+    day, known = date(2020, 1, 10), ("toys", "city customer", "city seller")
+    lines = [("1", key(1)), ("1", key(2)), ("2", key(2))]
+    assert len(rows) == 4
+    assert got == {(o, p, key(1), 1, day, *known) for o, p in lines} | {("3", "plain", key(9), 1, day, None, None, None)}
 
 
 def test_versions_are_listed_without_their_digests(spark, tables):  # noqa: F811
