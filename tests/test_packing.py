@@ -188,3 +188,38 @@ def test_shuffle_files_go_with_their_write(spark, tmp_path):
     time.sleep(2)
     assert not files() - before
     assert len(rows.collect()) == rows.count() == 50_021
+
+
+SALES = "order_id string, product_id string, seller_id string, customer_key string, product_key string, seller_key string, purchase_time_key int, quantity bigint, is_canceled int, delay int"
+
+
+@pytest.fixture
+def sales(spark):
+    """Held and fresh sales: NULL and odd ids, surrogates of first versions, of later ones and plain ones."""
+    def frame(*lines):
+        rows = spark.createDataFrame([(*line, 20200110, n, 0, -n) for n, line in enumerate(lines)], SALES)
+        first = version_key("product_id", F.lit(scd.FIRST_EFFECTIVE).cast("timestamp_ntz"))
+        return rows.withColumn("product_key", F.when(F.col("product_key") == "first", first).otherwise(F.col("product_key")))
+
+    held = frame(("1", "7", "s", key(1), "first", key(2)), ("2", None, "s", None, None, key(2)), (None, "07", None, key(3), key(4), None))
+    fresh = frame(("2", None, "s", key(9), "plain", None), ("1", "7", "", key(1), "first", ""))
+    return held, fresh
+
+
+def test_merged_sales_come_back(sales):
+    held, fresh = sales
+    merged = facts.merge_fact("fact_sales", held, fresh)
+    got = {tuple(r) for r in merged.collect()}
+    old, new = held.collect(), fresh.collect()
+    assert got == {(*old[0], "keep"), (*new[0], "update"), (*old[2], "keep"), (*new[1], "insert")}
+    assert merged.drop("_action").dtypes == held.dtypes
+
+
+def test_merge_checks_keys_where_it_joins_them(spark, sales):
+    """The source is read once, shuffled once, and a key that it repeats is an error."""
+    held, fresh = sales
+    with settings(spark, {**COUNTED, "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = final_plan(facts.merge_fact("fact_sales", held, fresh))
+        assert plan.count("Exchange hashpartitioning(") == 2 and "ubquery" not in plan
+        with pytest.raises(Exception, match="several rows for one key"):
+            facts.merge_fact("fact_sales", held, fresh.union(fresh)).collect()
