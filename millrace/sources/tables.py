@@ -32,6 +32,11 @@ def path_exists(spark: SparkSession, pattern: str) -> bool:
     return bool(fs.globStatus(hadoop_path))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _filesystem(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -150,7 +155,7 @@ class PartitionedTable:
         folder = f"{self.path}/batches/{name}"
         # Rebalanced, so that a partition becomes few files and a large one is still split.
         rows = df.withColumn(_PART, self.part()).hint("rebalance", _PART)
-        rows.write.mode("overwrite").partitionBy(_PART).parquet(folder)
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy(_PART).parquet(folder)
         self._apply(folder)
         for other, old in self._batches().items():
             if other != name:
@@ -167,7 +172,7 @@ class PartitionedTable:
         if self._names(f"{folder}/{_PART}=*"):
             batch = self.spark.read.option("mergeSchema", "true").parquet(folder)
             writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy(_PART).parquet(self.rows)
+            writer.option("compression", "zstd").partitionBy(_PART).parquet(self.rows)
         fs, mark = _filesystem(self.spark, f"{folder}/{_APPLIED}")
         fs.create(mark).close()
 
@@ -197,8 +202,7 @@ class PartitionedTable:
         return fs.exists(hadoop_path)
 
     def _delete(self, path: str) -> None:
-        fs, hadoop_path = _filesystem(self.spark, path)
-        fs.delete(hadoop_path, True)
+        delete_path(self.spark, path)
 
 
 def overwrite_and_register(

@@ -122,6 +122,8 @@ def _append(changes: DataFrame, path: str, checkpoint: str, trigger) -> Streamin
         changes.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
+        # Records are JSON text, of which zstd leaves a good deal less than Parquet's default.
+        .option("compression", "zstd")
         .partitionBy("year", "month", "day")
         .trigger(**trigger)
         .start()

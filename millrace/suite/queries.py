@@ -34,7 +34,7 @@ from millrace.plans import facts, features, insights, marts
 from millrace.session import fits_broadcast, plan_bytes, shared_dir, stored
 from millrace.sources import catalog, landing, readers
 from millrace.sources.entities import CHANGE_RECORD_DDL
-from millrace.sources.tables import PartitionedTable, SnapshotTable
+from millrace.sources.tables import PartitionedTable, SnapshotTable, delete_path
 from millrace.streaming import feed, silver
 from millrace.suite.views import Source
 
@@ -1054,11 +1054,14 @@ def _clock():
 
 
 def _landed(s: Source, rows: DataFrame, name: str) -> str:
-    """Land a feed in bronze and return the folder."""
+    """Land a feed in bronze and return the folder. The feed's own files, which stand for a topic, go when
+    both queries have drained them."""
     root = shared_dir(s.spark, name)
-    stream = _file_feed(s, _as_files(s, rows, f"{name}-feed"))
+    files = _as_files(s, rows, f"{name}-feed")
+    stream = _file_feed(s, files)
     options = {"carry": ["seq"], "processing_time": _clock(), "trigger": feed.DRAIN}
     feed.finish(*feed.land_topics({name: stream}, root, **options).values())
+    delete_path(s.spark, files)
     return f"{root}/bronze/{name}"
 
 
